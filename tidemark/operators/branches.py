@@ -84,7 +84,7 @@ def resolve_branch(requests: DataFrame, branches: DataFrame, fallbacks: list[str
         wanted.join(best, "rid", "left")
         .withColumn(
             "used_branch",
-            F.when(F.col("found"), F.col("branch")).otherwise(F.element_at(order, F.col("fallback_position"))),
+            F.when(F.col("found"), F.col("branch")).otherwise(F.get(order, F.col("fallback_position") - 1)),
         )
         .drop("found", "fallback_position")
     )

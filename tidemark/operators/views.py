@@ -34,7 +34,7 @@ def encode(column: Column, values: list[str]) -> Column:
 
 
 def decode(code: Column, values: list[str]) -> Column:
-    return F.element_at(F.array(*map(F.lit, values)), code)
+    return F.get(F.array(*map(F.lit, values)), code - 1)
 
 
 def in_range(df: DataFrame, start: int | Column | None, end: int | Column | None) -> DataFrame:
@@ -95,26 +95,22 @@ def view_files(
 
 
 def append_conflicts(ops: DataFrame) -> DataFrame:
-    """Committed APPEND operations on a path already present in the view before them (strict mode).
+    """Committed APPEND operations on a path that was in the view just before them (strict mode).
 
-    Looks one operation back per path; a hot path is ordered within its own window only.
+    The operation before on the path must not be a delete, and no snapshot may lie between the two.
     """
-    from pyspark.sql import Window
+    from tidemark.operators.asof import latest_before
 
+    path_key = [*KEY, "path"]
     committed = with_status(ops, include_open=False)
-    order = Window.partitionBy(*KEY, "path").orderBy("seq")
-    before = (
-        committed.withColumn("prev_seq", F.lag("seq").over(order))
-        .withColumn("prev_type", F.lag("type").over(order))
-        .where((F.col("type") == "APPEND") & F.col("prev_seq").isNotNull() & (F.col("prev_type") != "DELETE"))
-    )
-    snapshots = committed.where(F.col("type") == "SNAPSHOT").select(*KEY, F.col("seq").alias("snap")).distinct()
-    hidden = before.join(
-        snapshots,
-        [*[before[k] == snapshots[k] for k in KEY], snapshots["snap"] > before["prev_seq"], snapshots["snap"] < before["seq"]],
-        "left_semi",
-    ).select(*KEY, "path", "seq")
-    return before.select(*KEY, "path", "seq", "prev_seq").join(hidden, [*KEY, "path", "seq"], "left_anti")
+    appends = committed.where(F.col("type") == "APPEND").select(*path_key, "seq")
+    before = latest_before(appends, committed, path_key, at="seq", strict=True, name="prev_seq")
+    before = before.where(F.col("prev_seq").isNotNull())
+    snapshots = committed.where(F.col("type") == "SNAPSHOT").select(*KEY, "seq").distinct()
+    bounded = latest_before(before, snapshots, KEY, at="seq", strict=True, name="snapshot_seq")
+    alive = bounded.where(F.col("snapshot_seq").isNull() | (F.col("snapshot_seq") <= F.col("prev_seq")))
+    deletes = committed.where(F.col("type") == "DELETE").select(*path_key, F.col("seq").alias("prev_seq"))
+    return alive.drop("snapshot_seq").join(deletes, [*path_key, "prev_seq"], "left_anti").select(*path_key, "seq", "prev_seq")
 
 
 def pick_logical_path(files: DataFrame, logical_path: str | None) -> DataFrame:

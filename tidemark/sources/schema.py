@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.asof import latest_before
+
 # Document type names and their Spark types.
 PLAIN_TYPES = {
     "BOOLEAN": T.BooleanType(),
@@ -201,35 +203,23 @@ def flatten_documents(docs: DataFrame, doc: str, keys: list[str]) -> DataFrame:
 
 
 def schema_as_of(schemas: DataFrame, refs: DataFrame, doc: str = "doc") -> DataFrame:
-    """For refs(rid, branch, ref_seq): the newest document put at or before ref_seq, or NULLs.
-
-    A reference past every document is the common case, so the bound is part of the join and the newest hit is
-    found by an aggregation with a map-side part; the document itself is fetched once per reference.
-    """
-    hits = (
-        refs.join(schemas.select("rid", "branch", "seq"), ["rid", "branch"])
-        .where(F.col("seq") <= F.col("ref_seq"))
-        .groupBy("rid", "branch", "ref_seq")
-        .agg(F.max("seq").alias("seq"))
-    )
-    found = hits.join(schemas.select("rid", "branch", "seq", doc), ["rid", "branch", "seq"])
-    return refs.join(found.withColumnRenamed("seq", "schema_seq"), ["rid", "branch", "ref_seq"], "left")
+    """For refs(rid, branch, ref_seq): the newest document put at or before ref_seq, or NULLs."""
+    key = ["rid", "branch"]
+    found = latest_before(refs, schemas, key, at="ref_seq", name="schema_seq")
+    stored = schemas.select(*key, F.col("seq").alias("schema_seq"), doc)
+    return found.join(stored, [*key, "schema_seq"], "left")
 
 
 def schema_changes(fields: DataFrame) -> DataFrame:
     """Fields that differ between consecutive documents of a dataset: ADDED, REMOVED or CHANGED.
 
     ``fields`` has rid, branch, seq, name, type (see :func:`flatten_documents`). Every document is matched to its
-    predecessor by number, so two equi-joins on (rid, branch, version, name) replace any pairing of documents.
+    predecessor by number, so equi-joins on (rid, branch, seq, name) replace any pairing of documents.
     """
-    from pyspark.sql import Window
-
     key = ["rid", "branch"]
-    versions = (
-        fields.select(*key, "seq")
-        .distinct()
-        .withColumn("prev_seq", F.lag("seq").over(Window.partitionBy(*key).orderBy("seq")))
-        .where(F.col("prev_seq").isNotNull())
+    numbers = fields.select(*key, "seq").distinct()
+    versions = latest_before(numbers, numbers, key, at="seq", strict=True, name="prev_seq").where(
+        F.col("prev_seq").isNotNull()
     )
     now = fields.join(versions, [*key, "seq"]).select(*key, "seq", "name", F.col("type").alias("new_type"))
     before = (
@@ -237,11 +227,8 @@ def schema_changes(fields: DataFrame) -> DataFrame:
         .join(versions, [*key, "prev_seq"])
         .select(*key, "seq", "name", F.col("type").alias("old_type"))
     )
-    return (
-        now.join(before, [*key, "seq", "name"], "full")
-        .where(~F.col("new_type").eqNullSafe(F.col("old_type")))
-        .withColumn(
-            "change",
-            F.when(F.col("old_type").isNull(), "ADDED").when(F.col("new_type").isNull(), "REMOVED").otherwise("CHANGED"),
-        )
+    kind = (
+        F.when(F.col("old_type").isNull(), "ADDED").when(F.col("new_type").isNull(), "REMOVED").otherwise("CHANGED")
     )
+    both = now.join(before, [*key, "seq", "name"], "full")
+    return both.where(~F.col("new_type").eqNullSafe(F.col("old_type"))).withColumn("change", kind)
