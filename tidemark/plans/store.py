@@ -90,10 +90,15 @@ class Store:
         frame = self.spark.read.schema(TABLES[table]).option("basePath", base).parquet(path)
         return frame if rid is None else frame.where(F.col("rid") == rid)
 
-    def append(self, table: str, rows: list[tuple] | DataFrame) -> None:
-        frame = rows if isinstance(rows, DataFrame) else local_frame(self.spark, rows, TABLES[table])
-        writer = frame.write.mode("append")
-        (writer.partitionBy("rid") if table in BY_DATASET else writer).parquet(self.log_path(table))
+    def append(self, table: str, rows: list[tuple] | DataFrame, rid: str | None = None) -> None:
+        """Add rows (of one dataset, where the table is kept by dataset)."""
+        frame, path = rows, self.log_path(table)
+        if not isinstance(rows, DataFrame):
+            frame = local_frame(self.spark, rows, TABLES[table])
+            rid = rows[0][0]
+        if table in BY_DATASET:
+            frame, path = frame.drop("rid"), f"{path}/rid={rid}"
+        frame.write.mode("append").parquet(path)
 
     def remembered(self, key: tuple, tables: list[str], rid: str | None, compute: Callable):
         """``compute()``, or its last result while no file was added to the given logs since.
@@ -375,7 +380,7 @@ class Dataset:
                 F.count_if(hidden & ~F.col("deleted")).alias("hidden_file_count"),
                 F.sum(F.when(hidden, F.col("length")).otherwise(zero)).alias("total_hidden_file_size"),
             )
-            self.store.append("files", staged.observe(seen, *counts))
+            self.store.append("files", staged.observe(seen, *counts), self.rid)
             metadata = seen.get
         self._log_transaction("COMMITTED", provenance=provenance, metadata=metadata)
         self._open = None

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import route_key
+from tidemark.sources import files as fsio
 
 EVENT_SCHEMA = "Records array<struct<eventTime timestamp, s3 struct<object struct<key string, size bigint>>>>"
 
@@ -20,19 +21,24 @@ def routed(events: DataFrame) -> DataFrame:
     )
 
 
-def route_objects(
-    spark: SparkSession, folder: str, output: str, checkpoint: str, *, late: str = "1 hour"
-) -> None:
-    """Route the events that arrived since the last run, then stop.
+def route_objects(spark: SparkSession, folder: str, output: str, checkpoint: str) -> None:
+    """Route the events that arrived since the last run to ``output/batch=<n>``, then stop.
 
-    Events are delivered at least once; repeats of a key within ``late`` are dropped, with state bounded by that.
+    Events are delivered at least once. A key already routed is left out by comparing with the output itself, so
+    no event is lost for being late and none is routed twice; a batch that failed is replaced when repeated.
     """
+
+    def write(batch: DataFrame, number: int) -> None:
+        fresh = routed(batch).dropDuplicates(["dataset", "path"])
+        if fsio.exists(output):
+            done = spark.read.parquet(output).where(F.col("batch") != number).select("dataset", "path")
+            fresh = fresh.join(done, ["dataset", "path"], "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{output}/batch={number}")
+
     query = (
-        routed(spark.readStream.schema(EVENT_SCHEMA).json(folder))
-        .withWatermark("event_time", late)
-        .dropDuplicatesWithinWatermark(["dataset", "path"])
-        .writeStream.format("parquet")
-        .option("path", output)
+        spark.readStream.schema(EVENT_SCHEMA)
+        .json(folder)
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
