@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import materialize
+
 # How many ranges the time line is cut into; (key, range) is the unit of work.
 RANGES = 4096
 
@@ -21,9 +23,10 @@ def latest_before(
     """
     marks = facts.select(*keys, F.col(seq).alias("__at")).distinct().withColumn("__fact", F.col("__at"))
     asked = refs.select(*keys, F.col(at).alias("__at")).distinct().withColumn("__asked", F.lit(True))
-    both = marks.unionByName(asked, allowMissingColumns=True)
+    # written once, as it is used three times below
+    both, _ = materialize(marks.unionByName(asked, allowMissingColumns=True), "positions")
 
-    low, high = facts.agg(F.min(seq)).scalar(), facts.agg(F.max(seq)).scalar()
+    low, high = both.agg(F.min("__fact")).scalar(), both.agg(F.max("__fact")).scalar()
     width = F.coalesce(F.greatest(F.lit(1.0), (high - low + 1) / F.lit(RANGES)), F.lit(1.0))
     number = F.floor((F.col("__at") - F.coalesce(low, F.lit(0))) / width)
     both = both.withColumn("__range", F.greatest(F.lit(-1), F.least(F.lit(RANGES), number)))

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize
+from tidemark.session import materialize, measured_side
 
 UNBOUNDED = (1 << 63) - 1
 
@@ -18,7 +18,7 @@ def branch_lineage(branches: DataFrame, max_depth: int = 32) -> DataFrame:
 
     Every step follows one parent link, and the tightest fork bound on the way applies. The loop ends when no
     branch has a parent left; ``max_depth`` guards against a cycle in the parent links. Levels are written out,
-    which keeps each step one join deep and gives the result a known size.
+    which keeps each step one join deep.
     """
     links = branches.select(
         "rid", F.col("branch").alias("source"), F.col("parent").alias("next"), F.col("fork_seq").alias("bound")
@@ -49,7 +49,7 @@ def inherited_ops(ops: DataFrame, lineage: DataFrame) -> DataFrame:
     """Operations as each branch sees them: its own, and its ancestors' up to the fork."""
     own = ops.withColumnRenamed("branch", "source")
     return (
-        own.join(lineage, ["rid", "source"])
+        own.join(measured_side(lineage, "lineage"), ["rid", "source"])
         .where(F.col("seq") <= F.col("max_seq"))
         .drop("source", "max_seq")
     )
@@ -71,17 +71,16 @@ def resolve_branch(requests: DataFrame, branches: DataFrame, fallbacks: list[str
     ``requests`` holds rid and branch; ``branches`` must have one row per (rid, branch). The candidates of a
     dataset are reduced to one flag per fallback before the join, so a request matches at most two rows.
     """
-    wanted = requests.join(
-        branches.select("rid", "branch", F.lit(True).alias("found")), ["rid", "branch"], "left"
-    )
+    known = measured_side(branches.select("rid", "branch"), "branches")
+    wanted = requests.join(known.withColumn("found", F.lit(True)), ["rid", "branch"], "left")
     order = F.array(*map(F.lit, fallbacks))
     best = (
-        branches.where(F.col("branch").isin(fallbacks))
+        known.where(F.col("branch").isin(fallbacks))
         .groupBy("rid")
         .agg(F.min(F.array_position(order, F.col("branch")).cast("int")).alias("fallback_position"))
     )
     return (
-        wanted.join(best, "rid", "left")
+        wanted.join(measured_side(best, "fallbacks"), "rid", "left")
         .withColumn(
             "used_branch",
             F.when(F.col("found"), F.col("branch")).otherwise(F.get(order, F.col("fallback_position") - 1)),

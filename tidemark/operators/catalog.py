@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import ancestors, basename, is_dataset_rid, parent
 from tidemark.operators.transactions import top_per_key
 from tidemark.operators.views import KEY
+from tidemark.session import measured_side
 
 # Bounds of a page.
 MIN_PAGE = 1
@@ -35,7 +36,7 @@ def identity_lookup(requests: DataFrame, identities: DataFrame) -> DataFrame:
     resolved = keyed.groupBy("ref").agg(
         F.count(F.lit(1)).alias("hits"), *[F.first(c).alias(c) for c in ("dataset_path", "dataset_rid", *others)]
     )
-    joined = requests.join(resolved, "ref", "left").withColumn("hits", F.coalesce("hits", F.lit(0)))
+    joined = requests.join(measured_side(resolved, "identities"), "ref", "left").withColumn("hits", F.coalesce("hits", F.lit(0)))
     for name in ("dataset_path", "dataset_rid", *others):
         joined = joined.withColumn(name, F.when(F.col("hits") == 1, F.col(name)))
     return joined
@@ -144,11 +145,24 @@ def file_page(files: DataFrame, *, page_size: int = FILE_PAGE, start_path: str |
 
 
 def events_page(events: DataFrame, types: list[str], limit: int, after: int | None = None) -> DataFrame:
-    """The next ``limit`` events of the given types by id, past the cursor."""
+    """The next ``limit`` events of the given types by id, past the cursor.
+
+    Ids are probed upwards in widening stretches until enough events are found, so the scan is bounded from both
+    sides (parquet skips the rest by its statistics) and no task has to keep a page of its own.
+    """
     rows = events.where(F.col("event_type").isin(types))
     if after is not None:
         rows = rows.where(F.col("event_id") > after)
-    return rows.orderBy("event_id").limit(limit)
+    bounds = rows.agg(F.min("event_id").alias("low"), F.max("event_id").alias("high")).first()
+    if bounds["low"] is None:
+        return rows
+    width, high = 4 * limit, bounds["low"]
+    while high < bounds["high"]:
+        high = min(bounds["low"] + width, bounds["high"])
+        if high == bounds["high"] or rows.where(F.col("event_id") <= high).count() >= limit:
+            break
+        width *= 8
+    return rows.where(F.col("event_id") <= high).orderBy("event_id").limit(limit)
 
 
 def apply_set_patches(members: DataFrame, patches: DataFrame, key: str, member: str = "member") -> DataFrame:

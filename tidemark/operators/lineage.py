@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.transactions import last_transactions, top_per_key
-from tidemark.session import materialize
+from tidemark.session import materialize, measured_side
 
 # Fixed value: runs listed per check.
 RUNS_PER_CHECK = 5
@@ -68,8 +68,11 @@ def connecting(edges: DataFrame, above: DataFrame, below: DataFrame, ignore: Dat
 
 def select_jobs(specs: DataFrame, wanted: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """(job specs chosen by ``wanted(key, required)``, required keys that no spec has)."""
-    chosen = specs.join(wanted.select(key).distinct(), key, "left_semi")
-    missing = wanted.where("required").select(key).distinct().join(specs.select(key), key, "left_anti")
+    asked = measured_side(wanted.groupBy(key).agg(F.bool_or("required").alias("required")), "wanted")
+    chosen = specs.join(asked, key, "left_semi")
+    # only the asked keys that have a spec are compared, not all specs
+    present = specs.select(key).join(asked, key, "left_semi").distinct()
+    missing = asked.where("required").select(key).join(present, key, "left_anti")
     return chosen, missing
 
 
@@ -78,7 +81,7 @@ def stale_outputs(edges: DataFrame, transactions: DataFrame, *, force: bool = Fa
 
     With ``force`` every child is due.
     """
-    newest = last_transactions(transactions, keys=["rid"]).select("rid", "seq")
+    newest = measured_side(last_transactions(transactions, keys=["rid"]).select("rid", "seq"), "newest")
     per_child = (
         edges.join(newest.select(F.col("rid").alias("parent"), F.col("seq").alias("parent_seq")), "parent")
         .groupBy("child")

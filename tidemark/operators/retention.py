@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.transactions import top_per_key
-from tidemark.session import materialize
+from tidemark.session import measured_side
 
 # Fixed value: versions kept per dataset.
 KEEP_VERSIONS = 2
@@ -24,11 +24,11 @@ def evictions(versions: DataFrame, keys: list[str], keep: int = KEEP_VERSIONS) -
     """Versions(keys, seq) older than the newest ``keep`` of their key.
 
     The cut-off is the oldest kept version, found from at most ``keep`` rows per key and map task; the evicted
-    rows are then a plain filter on a join, without ranking a whole key. The cut-offs are written out first:
-    with their size known, a small table is broadcast and the versions are not shuffled at all.
+    rows are then a plain filter on a join, without ranking a whole key. The cut-offs are measured first:
+    while they are few, the versions are not shuffled at all.
     """
     newest = top_per_key(versions.select(*keys, "seq").distinct(), keys, [F.col("seq").desc()], keep)
-    cut, _ = materialize(newest.groupBy(*keys).agg(F.min("seq").alias("oldest_kept")), "cutoffs")
+    cut = measured_side(newest.groupBy(*keys).agg(F.min("seq").alias("oldest_kept")), "cutoffs")
     return versions.join(cut, keys).where(F.col("seq") < F.col("oldest_kept")).drop("oldest_kept")
 
 

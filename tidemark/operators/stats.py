@@ -96,8 +96,12 @@ def size_gate(
 
 
 def sample_first(df: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
-    """The first ``n`` rows in no particular order."""
-    return df.limit(n)
+    """The first ``n`` rows in no particular order.
+
+    Partitions are read one after another until there are enough rows, and those few rows become the frame. A
+    ``limit`` inside a larger plan would take up to ``n`` rows of every partition to a single task instead.
+    """
+    return df.sparkSession.createDataFrame(df.take(n), df.schema)
 
 
 def sample_random(df: DataFrame, n: int = SAMPLE_ROWS, seed: int = 7) -> DataFrame:

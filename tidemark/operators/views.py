@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import materialize, measured_side
+
 KEY = ["rid", "branch"]
 
 # Transaction types and states.
@@ -26,7 +28,7 @@ TRANSACTION_STATUS = ["OPEN", "COMMITTED", "ABORTED"]
 
 
 def encode(column: Column, values: list[str]) -> Column:
-    """Position of ``column`` in ``values`` (from 1).
+    """Position of ``column`` in ``values`` (from 1, 0 if not there).
 
     Aggregation buffers of fixed width stay in hash aggregation; a string payload would force a sort.
     """
@@ -85,10 +87,9 @@ def view_files(
     live = with_status(in_range(ops, start, end), include_open)
     log = live if transactions is None else with_status(in_range(transactions, start, end), include_open)
     newest = latest_by_path(live, list(payload))
-    # newest has one row per path; the join only adds one number, and its few-row side is broadcast by AQE when
-    # its measured size allows, else a skewed dataset is split by the skew-join rule
+    snapshots = measured_side(last_snapshots(log), "snapshots")
     return (
-        newest.join(last_snapshots(log), KEY, "left")
+        newest.join(snapshots, KEY, "left")
         .where(~F.col("deleted") & (F.col("snapshot_seq").isNull() | (F.col("seq") >= F.col("snapshot_seq"))))
         .select(*KEY, "path", "seq", *payload)
     )
@@ -105,7 +106,7 @@ def append_conflicts(ops: DataFrame) -> DataFrame:
     committed = with_status(ops, include_open=False)
     appends = committed.where(F.col("type") == "APPEND").select(*path_key, "seq")
     before = latest_before(appends, committed, path_key, at="seq", strict=True, name="prev_seq")
-    before = before.where(F.col("prev_seq").isNotNull())
+    before, _ = materialize(before.where(F.col("prev_seq").isNotNull()), "before")
     snapshots = committed.where(F.col("type") == "SNAPSHOT").select(*KEY, "seq").distinct()
     bounded = latest_before(before, snapshots, KEY, at="seq", strict=True, name="snapshot_seq")
     alive = bounded.where(F.col("snapshot_seq").isNull() | (F.col("snapshot_seq") <= F.col("prev_seq")))

@@ -16,9 +16,13 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.ui.enabled": "false",
 }
 
+# Rows up to which a measured join side is broadcast: far below what an executor holds for rows of a few columns.
+BROADCAST_ROWS = 1_000_000
+
 _local_fallback: str | None = None
 
 
@@ -64,3 +68,13 @@ def materialize(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["n"]
+
+
+def measured_side(df: DataFrame, label: str) -> DataFrame:
+    """A join side that is expected to be small, written out and counted before it is used.
+
+    Up to ``BROADCAST_ROWS`` rows it is marked for broadcast, so the other side is not shuffled at all; beyond
+    that it is marked for a merge join, which AQE splits at skewed keys.
+    """
+    table, rows = materialize(df, label)
+    return F.broadcast(table) if rows <= BROADCAST_ROWS else table.hint("merge")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.asof import latest_before
+from tidemark.session import materialize
 
 # Document type names and their Spark types.
 PLAIN_TYPES = {
@@ -218,9 +219,8 @@ def schema_changes(fields: DataFrame) -> DataFrame:
     """
     key = ["rid", "branch"]
     numbers = fields.select(*key, "seq").distinct()
-    versions = latest_before(numbers, numbers, key, at="seq", strict=True, name="prev_seq").where(
-        F.col("prev_seq").isNotNull()
-    )
+    found = latest_before(numbers, numbers, key, at="seq", strict=True, name="prev_seq")
+    versions, _ = materialize(found.where(F.col("prev_seq").isNotNull()), "versions")
     now = fields.join(versions, [*key, "seq"]).select(*key, "seq", "name", F.col("type").alias("new_type"))
     before = (
         fields.withColumnRenamed("seq", "prev_seq")
