@@ -37,6 +37,9 @@ from tidemark.sources import schema as docs
 DEFAULT_BRANCH = "master"
 DEFAULT_TYPE = "APPEND"
 
+# Transactions of a dataset kept at hand on the driver; older ones are asked for in the log.
+RECENT = 1000
+
 # Fixed value: the folder readers expect the files of a written frame in.
 DATA_FOLDER = "spark"
 
@@ -301,8 +304,26 @@ class Dataset:
     def transactions(self) -> DataFrame:
         return self._inherited(self.store.transactions(self.rid))
 
+    def _recent(self) -> tuple[list, bool]:
+        """The newest transactions on any branch, newest first, and whether these are all."""
+
+        def read() -> list:
+            return self.store.transactions(self.rid).orderBy(F.col("seq").desc()).limit(RECENT).collect()
+
+        rows = self.store.remembered(("recent", self.rid), ["transactions"], self.rid, read)
+        return rows, len(rows) < RECENT
+
+    def _recent_here(self, statuses: tuple[str, ...], branches: list[tuple[str, int]] | None = None) -> tuple[list, bool]:
+        """Of the newest transactions, those seen from this branch (or from ``branches``) in one of the states."""
+        rows, complete = self._recent()
+        bounds = dict(self._sources() if branches is None else branches)
+        return [r for r in rows if r["status"] in statuses and r["seq"] <= bounds.get(r["branch"], -1)], complete
+
     def transaction_row(self, txn: str):
-        row = self.store.transactions(self.rid).where(F.col("txn") == txn).first()
+        rows, complete = self._recent()
+        row = next((r for r in rows if r["txn"] == txn), None)
+        if row is None and not complete:
+            row = self.store.transactions(self.rid).where(F.col("txn") == txn).first()
         if row is None:
             raise errors.TransactionNotFoundError(txn)
         return row
@@ -318,14 +339,19 @@ class Dataset:
         return [r.asDict() for r in rows.orderBy("position").collect()]
 
     def last_transaction(self, *, include_open: bool = False) -> dict | None:
+        rows, complete = self._recent_here(("COMMITTED", "OPEN") if include_open else ("COMMITTED",))
+        if rows or complete:
+            return {**rows[0].asDict(), "branch": self.branch} if rows else None
         page = self.get_transactions(1, include_open=include_open)
         return page[0] if page else None
 
     def open_transaction(self) -> dict | None:
-        own = self.store.transactions(self.rid).where(F.col("branch") == self.branch)
-        last = transactions.reverse_transactions(own, 1, include_open=True, columns=("seq", "txn", "type", "status", "record"))
-        row = last.where(F.col("status") == "OPEN").first()
-        return None if row is None else row.asDict()
+        """The branch's own last transaction, if it is open."""
+        rows, complete = self._recent_here(("COMMITTED", "OPEN"), [(self.branch, branch_ops.UNBOUNDED)])
+        if not rows and not complete:
+            own = self.store.transactions(self.rid).where(F.col("branch") == self.branch)
+            rows = views.with_status(own, include_open=True).orderBy(F.col("seq").desc()).limit(1).collect()
+        return rows[0].asDict() if rows and rows[0]["status"] == "OPEN" else None
 
     @property
     def transaction(self) -> dict:
@@ -593,13 +619,24 @@ class Dataset:
         One row per transaction goes through the driver, as the names of a scan's folders do. As a local table
         its size is known, so the join with the manifest is a broadcast join as long as it is small.
         """
-        columns = "seq bigint, txn string, type string, status string, written bigint"
-        rows = views.with_status(views.in_range(self.transactions(), start, end), include_open).select(
-            "seq", "txn", "type", "status", (F.col("file_count") - F.col("hidden_file_count")).alias("written")
-        )
-        snapshot = rows.agg(F.max(F.when(F.col("type") == "SNAPSHOT", F.col("seq")))).scalar()
-        live = rows.where(F.col("seq") >= F.coalesce(snapshot, F.lit(0))).collect()
-        return local_frame(self.spark, [tuple(r) for r in live], columns)
+        recent, complete = self._recent_here(("COMMITTED", "OPEN") if include_open else ("COMMITTED",))
+        oldest = min((r["seq"] for r in self._recent()[0]), default=0)
+        inside = [r for r in recent if (start is None or r["seq"] >= start) and (end is None or r["seq"] <= end)]
+        snapshot = max((r["seq"] for r in inside if r["type"] == "SNAPSHOT"), default=None)
+        if snapshot is None and not complete and (start is None or start < oldest):
+            inside, snapshot = self._long_timeline(start, end, include_open)
+        live = [
+            (r["seq"], r["txn"], r["type"], r["status"], (r["file_count"] or 0) - (r["hidden_file_count"] or 0))
+            for r in inside
+            if snapshot is None or r["seq"] >= snapshot
+        ]
+        return local_frame(self.spark, live, "seq bigint, txn string, type string, status string, written bigint")
+
+    def _long_timeline(self, start: int | None, end: int | None, include_open: bool) -> tuple[list, int | None]:
+        """The same from the log, when the last snapshot is not among the newest transactions."""
+        rows = views.with_status(views.in_range(self.transactions(), start, end), include_open)
+        snapshot = rows.agg(F.max(F.when(F.col("type") == "SNAPSHOT", F.col("seq")))).first()[0]
+        return rows.where(F.col("seq") >= (snapshot or 0)).collect(), snapshot
 
     def files(
         self,
