@@ -267,6 +267,23 @@ def test_slow_query_is_cancelled(spark):
         within(spark, 2, slow.collect)
 
 
+def test_long_logs_are_asked_instead_of_kept(spark, store, monkeypatch):
+    from tidemark.plans import store as module
+
+    ds = store.create_dataset("/long").save_dataframe(frame(spark, "a"))
+    first = ds.last_transaction()
+    for name in ("b", "c"):
+        ds.save_dataframe(frame(spark, name), "APPEND")
+    ds.create_branch("idle")
+    monkeypatch.setattr(module, "RECENT", 1)
+    store._memo.clear()
+    assert names(ds.switch_branch("master").dataframe()) == ["a", "b", "c"]
+    assert names(ds.dataframe(end=first["txn"])) == ["a"]
+    assert ds.transaction_row(first["txn"])["seq"] == first["seq"]
+    assert ds.open_transaction() is None
+    assert ds.switch_branch("idle").last_transaction() is None
+
+
 def test_provenance_is_json(spark, store):
     ds = store.create_dataset("/prov")
     ds.start_transaction("SNAPSHOT").commit_transaction(provenance={"provenanceRecords": []})
