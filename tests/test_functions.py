@@ -51,9 +51,9 @@ def test_log_lines(spark):
         '{"level":"WARN","origin":"a.b","message":"m","time":"2024-08-12T12:38:21Z","unsafeParams":'
         '{"param_1":"x","other":1,"param_0":2,"exception_message":"boom"},"stacktrace":"at \\\\u0041 {exception_message}"}'
     )
-    structured, unknown, plain, partial = values(
-        spark, fn.parse_log_line, line, line.replace("WARN", "HUH"), "plain {text", '{"level":"INFO"}'
-    )
+    lines = [line, line.replace("WARN", "HUH"), "plain {text", '{"level":"INFO"}']
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, v string").coalesce(1)
+    structured, unknown, plain, partial = fn.parse_log_lines(df, "v", keep=["i"]).orderBy("i").collect()
     assert (structured.level, structured.origin, structured.message) == ("WARN", "a.b", "m")
     assert structured.args == ["x", "2"] and structured.stacktrace == "at A boom"
     assert unknown.level == "ERROR"

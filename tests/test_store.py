@@ -1,5 +1,6 @@
 import json
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,10 +82,25 @@ def test_files_of_the_open_transaction(spark, store):
 
 
 def test_update_replaces_files_of_the_same_name(spark, store):
+    ds = store.create_dataset("/upd").put_file("a", "1", kind="UPDATE").put_file("b", "2", kind="UPDATE")
+    ds.put_file("a", "333", kind="UPDATE")
+    assert sorted((r["path"], r["length"]) for r in ds.files().collect()) == [("a", 3), ("b", 1)]
+    pdf = store.create_dataset("/upd/pandas").save_dataframe(pd.DataFrame({"x": [1, 2]}))
+    pdf.save_dataframe(pd.DataFrame({"x": [7]}), "UPDATE")
+    assert pdf.to_pandas().x.tolist() == [7]
+    pdf.save_dataframe(pd.DataFrame({"x": [8]}), "APPEND")
+    assert sorted(pdf.to_pandas().x) == [7, 8]
+
+
+def test_update_of_a_frame_keeps_other_files(spark, store):
     rows = spark.createDataFrame([("x", 1), ("y", 2)], "k string, v int")
-    ds = store.create_dataset("/upd").save_dataframe(rows.coalesce(1), partition_by=["k"])
-    ds.save_dataframe(spark.createDataFrame([("x", 10)], "k string, v int").coalesce(1), "UPDATE", partition_by=["k"])
-    assert sorted((r["k"], r["v"]) for r in ds.dataframe().collect()) == [("x", 10), ("y", 2)]
+    more = spark.createDataFrame([("x", 10)], "k string, v int")
+    ds = store.create_dataset("/upd/frame").save_dataframe(rows.coalesce(1), partition_by=["k"])
+    ds.save_dataframe(more, "UPDATE", partition_by=["k"])
+    values = lambda: sorted((r["k"], r["v"]) for r in ds.dataframe().collect())
+    assert values() == [("x", 1), ("x", 10), ("y", 2)]
+    ds.save_dataframe(more, "UPDATE", partition_by=["k"], replace_partitions=True)
+    assert values() == [("x", 10), ("y", 2)]
 
 
 def test_partially_replaced_folders_list_single_files(spark, store):

@@ -1,6 +1,6 @@
 """Column functions: each takes and returns Spark columns."""
 
-from tidemark.functions.logs import explode_lines, parse_log_line
+from tidemark.functions.logs import explode_lines, parse_log_lines
 from tidemark.functions.paths import (
     ancestors,
     basename,
@@ -24,7 +24,7 @@ __all__ = [
     "matches_regex",
     "parent",
     "parse_iso",
-    "parse_log_line",
+    "parse_log_lines",
     "rid_kind",
     "route_key",
     "under",

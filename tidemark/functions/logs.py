@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,34 +26,32 @@ def _unescape(text: Column) -> Column:
     return F.from_json(F.concat(F.lit('{"v":"'), as_json, F.lit('"}')), "v string").getField("v")
 
 
-def parse_log_line(line: Column) -> Column:
-    """Struct (level, origin, time, message, args, stacktrace) of one log line.
+def parse_log_lines(df: DataFrame, line: str, *, keep: list[str] | None = None) -> DataFrame:
+    """The ``keep`` columns and level, origin, time, message, args, stacktrace of each log line.
 
     A JSON object with all required keys is structured; any other text is an INFO line holding itself.
     An unknown level counts as ERROR; ``args`` are the values of the ``param_`` keys in their order.
+    Each line is parsed once, in a projection of its own.
     """
-    bracketed = line.startswith("{") & line.endswith("}")
-    parsed = F.from_json(F.when(bracketed, line), _LINE)
-    keys = F.json_object_keys(F.when(bracketed, line))
-    structured = F.coalesce(
-        F.size(F.array_intersect(keys, F.array(*map(F.lit, REQUIRED_KEYS)))) == len(REQUIRED_KEYS), F.lit(False)
-    )
-    params = parsed.getField("unsafeParams")
-    trace = F.replace(
-        parsed.getField("stacktrace"),
-        F.lit("{exception_message}"),
-        F.coalesce(F.try_element_at(params, F.lit("exception_message")), F.lit("")),
-    )
-    level = parsed.getField("level")
-    return F.struct(
-        F.when(~structured, F.lit("INFO")).when(level.isin(LEVELS), level).otherwise(F.lit("ERROR")).alias("level"),
-        F.when(structured, parsed.getField("origin")).otherwise(F.lit("")).alias("origin"),
-        F.when(structured, F.to_timestamp(parsed.getField("time"))).alias("time"),
-        F.when(structured, parsed.getField("message")).otherwise(line).alias("message"),
-        F.when(structured, F.map_values(F.map_filter(params, lambda k, _: k.startswith("param_"))))
-        .otherwise(F.array().cast("array<string>"))
-        .alias("args"),
-        F.when(structured, _unescape(trace)).alias("stacktrace"),
+    keep = keep or []
+    text = F.col(line)
+    as_json = F.from_json(F.when(text.startswith("{") & text.endswith("}"), text), _LINE)
+    parsed = df.select(*keep, text.alias("__line"), as_json.alias("__json"))
+    p = lambda name: F.col("__json").getField(name)
+    present = [p(name).isNotNull() for name in REQUIRED_KEYS]
+    structured = F.coalesce(reduce(and_, present), F.lit(False))
+    exception = F.coalesce(F.try_element_at(p("unsafeParams"), F.lit("exception_message")), F.lit(""))
+    trace = F.replace(p("stacktrace"), F.lit("{exception_message}"), exception)
+    level = F.when(p("level").isin(LEVELS), p("level")).otherwise(F.lit("ERROR"))
+    args = F.map_values(F.map_filter(p("unsafeParams"), lambda k, _: k.startswith("param_")))
+    return parsed.select(
+        *keep,
+        F.when(structured, level).otherwise(F.lit("INFO")).alias("level"),
+        F.when(structured, p("origin")).otherwise(F.lit("")).alias("origin"),
+        F.when(structured, F.to_timestamp(p("time"))).alias("time"),
+        F.when(structured, p("message")).otherwise(F.col("__line")).alias("message"),
+        F.when(structured, args).otherwise(F.array().cast("array<string>")).alias("args"),
+        F.when(structured & trace.isNotNull(), _unescape(trace)).alias("stacktrace"),
     )
 
 

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tidemark.session import materialize
 
-# How many ranges the time line is cut into; (key, range) is the unit of work.
-RANGES = 4096
+# (key, range) is the unit of work: ranges are as many as give this many positions each on average, up to a bound
+# that one task can order by itself.
+POSITIONS_PER_RANGE = 20_000
+MAX_RANGES = 65_536
 
 
 def latest_before(
@@ -24,12 +26,13 @@ def latest_before(
     marks = facts.select(*keys, F.col(seq).alias("__at")).distinct().withColumn("__fact", F.col("__at"))
     asked = refs.select(*keys, F.col(at).alias("__at")).distinct().withColumn("__asked", F.lit(True))
     # written once, as it is used three times below
-    both, _ = materialize(marks.unionByName(asked, allowMissingColumns=True), "positions")
+    both, positions = materialize(marks.unionByName(asked, allowMissingColumns=True), "positions")
+    ranges = max(1, min(MAX_RANGES, positions // POSITIONS_PER_RANGE))
 
     low, high = both.agg(F.min("__fact")).scalar(), both.agg(F.max("__fact")).scalar()
-    width = F.coalesce(F.greatest(F.lit(1.0), (high - low + 1) / F.lit(RANGES)), F.lit(1.0))
+    width = F.coalesce(F.greatest(F.lit(1.0), (high - low + 1) / F.lit(ranges)), F.lit(1.0))
     number = F.floor((F.col("__at") - F.coalesce(low, F.lit(0))) / width)
-    both = both.withColumn("__range", F.greatest(F.lit(-1), F.least(F.lit(RANGES), number)))
+    both = both.withColumn("__range", F.greatest(F.lit(-1), F.least(F.lit(ranges), number)))
 
     # at equal positions a fact goes ahead of a reference, or after it when the comparison is strict
     question = F.col("__asked").isNotNull().cast("int")
@@ -37,7 +40,7 @@ def latest_before(
     local = F.max("__fact").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     answers = both.withColumn("__local", local).where(F.col("__asked").isNotNull())
 
-    # one row per key and range: at most RANGES + 2 of a key meet in this window
+    # one row per key and range: at most ranges + 2 of a key meet in this window
     earlier = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         both.groupBy(*keys, "__range")

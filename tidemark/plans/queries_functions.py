@@ -102,24 +102,16 @@ PARSED_LINES = """SELECT event_id, CASE WHEN event_id % 4 IN (0, 3) THEN 'INFO'
   CASE WHEN event_id % 4 = 2 THEN 'first boom ' || event_id || chr(10) || 'At B' END AS stacktrace FROM events"""
 
 
-def flat_lines(df, *keep):
+def flat_lines(df):
     """Parsed lines as plain columns, times without a zone."""
-    time = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("record.time").cast("timestamp_ntz"))
-    return df.select(
-        *keep,
-        "record.level",
-        "record.origin",
-        time.alias("time"),
-        "record.message",
-        F.array_join("record.args", "|").alias("args"),
-        "record.stacktrace",
-    )
+    time = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("time").cast("timestamp_ntz"))
+    return df.withColumn("time", time).withColumn("args", F.array_join("args", "|"))
 
 
 @query(PARSED_LINES)
 def parse_log_lines(spark, sf):
     events = d.table(spark, sf, "events")
-    return flat_lines(events.select("event_id", fn.parse_log_line(log_lines(events)).alias("record")), "event_id")
+    return flat_lines(fn.parse_log_lines(events.select("event_id", log_lines(events).alias("line")), "line", keep=["event_id"]))
 
 
 @query("""SELECT conv_id, turn, CAST(unnest(range(len(l))) AS INT) AS line_no, unnest(l) AS line FROM
@@ -143,6 +135,5 @@ def nested_explode(spark, sf):
         "l_orderkey", "l_linenumber", measures.alias("measures"), F.create_map(F.lit("tax"), "l_tax").alias("rates")
     )
     return nested.select(
-        "l_orderkey", "l_linenumber", F.inline("measures"), 
-        F.element_at("rates", "tax").alias("tax"),
+        "l_orderkey", "l_linenumber", F.inline("measures"), F.element_at("rates", "tax").alias("tax")
     )

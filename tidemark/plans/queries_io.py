@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tidemark.plans import derived as d
 from tidemark.plans.registry import query
 from tidemark.plans.store import Store
-from tidemark.plans.transforms import LightweightInput, Context, Input
 from tidemark.session import fresh_dir
 from tidemark.sources import readers, writers
 from tidemark.sources import schema as docs
@@ -88,7 +87,7 @@ def write_append(spark, sf):
 
 @query(SUMMARY.format("(SELECT * REPLACE (CASE WHEN o_orderstatus = 'O' THEN o_totalprice + 1000 ELSE o_totalprice END AS o_totalprice) FROM orders) x"))
 def write_update(spark, sf):
-    """One partition rewritten in place: files of the same name are replaced, the others stay."""
+    """One partition rewritten in place, the others stay."""
     orders = d.table(spark, sf, "orders")
     saved = _new(spark).save_dataframe(orders, "SNAPSHOT", partition_by=["o_orderstatus"])
     raised = orders.where("o_orderstatus = 'O'").withColumn("o_totalprice", F.col("o_totalprice") + 1000)
@@ -99,7 +98,7 @@ def write_update(spark, sf):
 @query(SUMMARY.format("orders WHERE o_orderstatus <> 'P'"))
 def delete_files(spark, sf):
     saved = _new(spark).save_dataframe(d.table(spark, sf, "orders"), partition_by=["o_orderstatus"])
-    gone = [r["path"] for r in saved.files().where(F.contains("path", F.lit("o_orderstatus=P/"))).select("path").collect()]
+    gone = saved.files().where(F.contains("path", F.lit("o_orderstatus=P/")))
     return summary(saved.delete_files(gone).dataframe())
 
 

@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from tidemark.plans import derived as d
-from tidemark.plans.queries_functions import PARSED_LINES, log_lines
+from tidemark.plans.queries_functions import PARSED_LINES, flat_lines, log_lines
 from tidemark.plans.registry import query
 from tidemark.plans.store import Store
 from tidemark.plans.transforms import (
@@ -187,9 +187,7 @@ def stream_log_tail(spark, sf):
         lines = events.where(F.col("event_id") % 2 == part).select(log_lines(events).alias("value"))
         lines.write.mode("append").text(source)
         tail_log(spark, source, target, checkpoint)
-    time = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("time").cast("timestamp_ntz"))
-    read = spark.read.parquet(target)
-    return read.withColumn("time", time).withColumn("args", F.array_join("args", "|"))
+    return flat_lines(spark.read.parquet(target))
 
 
 @query("""SELECT DISTINCT split_part(url, '/', 3) AS dataset, substr(url, length(split_part(url, '/', 1)) + length(split_part(url, '/', 3)) + 4) AS path

@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from datetime import UTC, datetime
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -521,11 +522,12 @@ class Dataset:
             self._stage(self._as_manifest(rows))
         return self.put_schema(doc or readers.infer_schema(self.spark, [location], "parquet"), t["seq"])
 
-    def delete_files(self, paths: list[str]) -> Dataset:
-        """Take files out of the view by a DELETE transaction."""
+    def delete_files(self, paths: list[str] | DataFrame) -> Dataset:
+        """Take files out of the view by a DELETE transaction; the paths may be a frame with a path column."""
         with self.transaction_context("DELETE"):
-            rows = local_frame(self.spark, [(p,) for p in paths], "path string")
-            self.stage_tombstones(rows)
+            if not isinstance(paths, DataFrame):
+                paths = local_frame(self.spark, [(p,) for p in paths], "path string")
+            self.stage_tombstones(paths)
         return self
 
     def stage_tombstones(self, paths: DataFrame) -> None:
@@ -546,7 +548,7 @@ class Dataset:
 
     def save_dataframe(
         self,
-        df: DataFrame,
+        df: DataFrame | pd.DataFrame | pa.Table,
         kind: str = "SNAPSHOT",
         *,
         doc: dict | None = None,
@@ -557,16 +559,20 @@ class Dataset:
     ) -> Dataset:
         """Write a frame as one transaction, in parallel and straight into the dataset.
 
-        An APPEND goes to a folder of its own. Logical names are ``part-<n>`` without the writer's random part,
-        so that an UPDATE replaces files of the same name; with ``replace_partitions`` it also removes the other
-        files of the partitions it writes.
+        An APPEND goes to a folder of its own. The files of a Spark frame have names of their own, so an UPDATE
+        leaves all others in place; with ``replace_partitions`` it removes those in the partitions it writes. A
+        pandas, polars or Arrow table becomes the one file ``dataset.parquet``, which the next UPDATE replaces.
         """
+        local = not isinstance(df, DataFrame)
+        if local:
+            df = self.spark.createDataFrame(df.to_arrow() if type(df).__module__.startswith("polars") else df).coalesce(1)
         with self.transaction_context(kind) as t:
             folder = str(time.time_ns() // 1_000_000) if kind == "APPEND" else DATA_FOLDER
             target = f"{self.folder()}/{folder}"
             writers.write_version(df, target, fmt=fmt, partition_by=partition_by, options=options)
             listed = fsio.list_frame(self.spark, target)
-            rows = listed.withColumn("path", F.concat(F.lit(f"{folder}/"), _stable_name(F.col("path"))))
+            name = F.lit("dataset.parquet") if local else F.col("path")
+            rows = listed.withColumn("path", F.concat(F.lit(f"{folder}/"), name))
             self._stage(self._as_manifest(rows))
             if kind == "UPDATE" and replace_partitions:
                 self.stage_tombstones(self._overwritten(rows))
@@ -799,13 +805,5 @@ class Dataset:
         }
 
 
-def _stable_name(path: Column) -> Column:
-    """``part-00003-<uuid>-c000.snappy.parquet`` → ``part-00003-c000.snappy.parquet``, folders kept.
-
-    Partitioned writes put ``.c000`` in place of ``-c000``; both are kept apart from the random part.
-    """
-    return F.regexp_replace(path, r"(part-\d+)-[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}", "$1")
-
-
 def _partitions_last(df: DataFrame, partition_by: list[str]):
     return df.select(*[c for c in df.columns if c not in partition_by], *partition_by).schema

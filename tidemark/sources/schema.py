@@ -218,6 +218,7 @@ def schema_changes(fields: DataFrame) -> DataFrame:
     predecessor by number, so equi-joins on (rid, branch, seq, name) replace any pairing of documents.
     """
     key = ["rid", "branch"]
+    fields, _ = materialize(fields.select(*key, "seq", "name", "type"), "fields")
     numbers = fields.select(*key, "seq").distinct()
     found = latest_before(numbers, numbers, key, at="seq", strict=True, name="prev_seq")
     versions, _ = materialize(found.where(F.col("prev_seq").isNotNull()), "versions")

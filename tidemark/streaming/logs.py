@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidemark.functions import parse_log_line
+from tidemark.functions import parse_log_lines
 
 
 def parsed_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Streaming frame of the parsed lines of all text files in ``folder``."""
-    lines = spark.readStream.text(folder)
-    return lines.select(parse_log_line(F.col("value")).alias("record")).select("record.*")
+    return parse_log_lines(spark.readStream.text(folder), "value")
 
 
 def tail_log(spark: SparkSession, folder: str, output: str, checkpoint: str) -> None:
