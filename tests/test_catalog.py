@@ -93,6 +93,8 @@ def test_sort_specs(spark):
     assert listed() == ["2", "1", "3"] and listed(sort="name desc") == ["3", "1", "2"]
     assert listed(sort="lastModified") == ["1", "3", "2"] and listed(sort="rid desc") == ["3", "2", "1"]
     assert listed(kinds=["dataset"], limit=1) == ["2"]
+    assert listed(folder="/f", sort="lastModified", limit=1, after=(5, "1")) == ["3"]
+    assert listed(folder="/f", sort="name desc", after=("b", "1")) == ["2"] and listed(folder="/g") == []
     for bad in ("size", "name up"):
         with pytest.raises(ValueError):
             catalog.sort_order(bad)

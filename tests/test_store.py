@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark import errors
 from tidemark.plans.sql import references, run_sql, within
 from tidemark.plans.store import Store
+from tidemark.sources import files as fsio
 
 
 def frame(spark, *names):
@@ -164,7 +165,7 @@ def test_save_dataset_guards(spark, store):
     with pytest.raises(ValueError):
         store.save_dataset(None, "/guard")
     store.set_trashed("/guard", True)
-    with pytest.raises(errors.DatasetInTrashError):
+    with pytest.raises(errors.DatasetInTrashError), pytest.warns(UserWarning, match="trash"):
         store.save_dataset(df, "/guard", exists_ok=True)
     store.set_trashed("/guard", False)
     store.save_dataset(df, "/guard", exists_ok=True)
@@ -204,6 +205,9 @@ def test_copy_in_and_out(spark, store, tmp_path):
     assert len(ds.download_files(str(out))) == 2
     assert (out / "sub" / "b.csv").read_text() == "col1,col2\n3,4\n"
     assert len(ds.download_files(str(tmp_path / "one"), ["a.csv"])) == 1
+    with ds.download_files_temporary(["sub/b.csv"]) as folder:
+        assert fsio.read_bytes(f"{folder}/sub/b.csv") == b"col1,col2\n3,4\n"
+    assert not fsio.exists(folder)
     with pytest.raises(errors.DatasetHasNoFilesError):
         ds.download_files(str(out), ["none"])
     doc = ds.infer_schema()

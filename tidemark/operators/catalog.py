@@ -80,13 +80,34 @@ def sort_order(spec: str | None) -> list[Column]:
     return [first] if field == "rid" else [first, F.col("rid").asc()]
 
 
+def _past(column: str, descending: bool, after: tuple) -> Column:
+    """True for rows behind ``after`` = (sort value, rid) when sorted by the column and then by rid."""
+    key, (value, rid) = F.col(column), after
+    beyond = key < F.lit(value) if descending else key > F.lit(value)
+    return beyond | ((key == F.lit(value)) & (F.col("rid") > rid))
+
+
 def list_children(
-    resources: DataFrame, *, sort: str | None = None, limit: int = FILE_PAGE, kinds: list[str] | None = None
+    resources: DataFrame,
+    *,
+    sort: str | None = None,
+    limit: int = FILE_PAGE,
+    kinds: list[str] | None = None,
+    folder: str | None = None,
+    after: tuple | None = None,
 ) -> DataFrame:
-    """First page of every folder's children in the given order; ``position`` counts from 1."""
+    """One page of every folder's children, or of one folder's, in the given order; ``position`` counts from 1.
+
+    ``after`` = (sort value, rid) of the last row seen asks for the page behind it.
+    """
     rows = resources.withColumn("folder", parent(F.col("path"))).withColumn("name", basename(F.col("path")))
+    if folder is not None:
+        rows = rows.where(F.col("folder") == folder)
     if kinds is not None:
         rows = rows.where(F.col("kind").isin(kinds))
+    if after is not None:
+        field = (sort or "name").partition(" ")[0]
+        rows = rows.where(_past(SORT_COLUMNS[field], (sort or "").endswith("desc"), after))
     return top_per_key(rows, ["folder"], sort_order(sort), limit, "position")
 
 
@@ -116,9 +137,7 @@ def search_resources(
         raise ValueError(f"cannot sort by {sort!r}")
     key = F.col(SORT_FIELDS[field])
     if after is not None:
-        value, rid = after
-        past = key > F.lit(value) if direction == "ASC" else key < F.lit(value)
-        rows = rows.where(past | ((key == F.lit(value)) & (F.col("rid") > rid)))
+        rows = rows.where(_past(SORT_FIELDS[field], direction == "DESC", after))
     order = key.asc() if direction == "ASC" else key.desc()
     return rows.orderBy(order, F.col("rid").asc()).limit(page_size_within(page_size))
 

@@ -61,7 +61,7 @@ def connecting(edges: DataFrame, above: DataFrame, below: DataFrame, ignore: Dat
     """Datasets on any path from the upstream set ``above`` to the downstream set ``below``."""
     down = closure(edges, above, source="parent", target="child", ignore=ignore)
     # a node on such a path is reached downwards, so the upward search may keep to those edges
-    inner = edges.join(down.withColumnRenamed("node", "parent"), "parent", "left_semi")
+    inner, _ = materialize(edges.join(down.withColumnRenamed("node", "parent"), "parent", "left_semi"), "between")
     up = closure(inner, below, source="child", target="parent", ignore=ignore)
     return down.join(up, "node", "left_semi")
 

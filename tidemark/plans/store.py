@@ -15,13 +15,14 @@ import json
 import re
 import time
 import uuid
+import warnings
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from datetime import UTC, datetime
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -160,6 +161,8 @@ class Store:
         if len(found) != 1:
             raise errors.DatasetNotFoundError(f"{ref}: {len(found)} datasets found")
         dataset = Dataset(self, found[0]["rid"], found[0]["path"], branch)
+        if found[0]["trashed"]:
+            warnings.warn(f"{dataset.path} is in the trash", stacklevel=2)
         names = dataset.branch_names()
         for name in [branch, *(fallbacks or [])]:
             if name in names:
@@ -771,6 +774,16 @@ class Dataset:
             raise errors.DatasetHasNoFilesError(self.path)
         return copied
 
+    @contextmanager
+    def download_files_temporary(self, paths: list[str] | None = None, max_workers: int | None = None) -> Iterator[str]:
+        """Files copied to a folder of the shared area for the time of a block."""
+        folder = fresh_dir(self.spark, "download")
+        self.download_files(folder, paths, max_workers)
+        try:
+            yield folder
+        finally:
+            fsio.delete_dir(folder)
+
     def query(self, query: str, return_type: str = "pandas", **kwargs):
         """SQL on this dataset; the FROM clause is put in front: ``SELECT a WHERE b = 1``."""
         from tidemark.plans.sql import query_from
