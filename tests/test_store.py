@@ -106,12 +106,10 @@ def test_update_of_a_frame_keeps_other_files(spark, store):
 
 def test_partially_replaced_folders_list_single_files(spark, store):
     ds = store.create_dataset("/part").save_dataframe(spark.range(0, 100, 1, 4).select(F.col("id").cast("string").alias("name")))
-    ((base, paths),) = ds._units()
-    assert base is None and len(paths) == 1  # the whole folder
+    assert len(ds._located()) == 1  # the whole folder
     gone = sorted(r["path"] for r in ds.files().collect())[0]
     ds.delete_files([gone])
-    ((base, paths),) = ds._units()
-    assert len(paths) == 3
+    assert len(ds._located()) == 3
     assert ds.dataframe().count() == 75
 
 
@@ -224,6 +222,20 @@ def test_import_reads_files_where_they_lie(spark, store, sf_dir):
     assert "EqualTo(n_regionkey,1)" in plan and "ReadSchema: struct<n_name:string,n_regionkey:int>" in plan
 
 
+def test_one_scan_covers_all_transactions_of_a_layout(spark, store):
+    rows = spark.createDataFrame([("a/b c%d", 1), ("y", 2)], "k string, v int")
+    ds = store.create_dataset("/layout").save_dataframe(rows, partition_by=["k"])
+    ds.save_dataframe(rows, "APPEND", partition_by=["k"]).save_dataframe(rows, "APPEND", partition_by=["k"])
+    plan = ds.dataframe()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "Union" not in plan
+    assert sorted(tuple(r) for r in ds.dataframe().groupBy("k").sum("v").collect()) == [("a/b c%d", 3), ("y", 6)]
+    gone = ds.files().where("path LIKE 'spark/%' AND path LIKE '%k=y%'")
+    ds.delete_files(gone)
+    assert sorted(tuple(r) for r in ds.dataframe().groupBy("k").sum("v").collect()) == [("a/b c%d", 3), ("y", 4)]
+    ds.save_dataframe(rows.select("v", "k"), "APPEND")  # not partitioned
+    assert ds.dataframe().count() == 7
+
+
 def test_partition_filter_prunes_folders(spark, store):
     rows = spark.createDataFrame([("x", 1), ("y", 2)], "k string, v int")
     ds = store.create_dataset("/prune").save_dataframe(rows, partition_by=["k"])

@@ -23,6 +23,13 @@ def test_only_committed_transactions_are_seen_and_each_once(spark, store):
     assert batches == [["a"], ["open"]]
 
 
+def test_partition_columns_are_kept(spark, store):
+    rows = spark.createDataFrame([("x", 1), ("y", 2)], "k string, v int")
+    source, seen = store.create_dataset("/p").save_dataframe(rows, partition_by=["k"]), []
+    new_rows(source, lambda df, n: seen.extend((r["k"], r["v"]) for r in df.collect()), fresh_dir(spark, "cp"))
+    assert sorted(seen) == [("x", 1), ("y", 2)]
+
+
 def test_failed_batch_is_repeated(spark, store):
     source = store.create_dataset("/r").save_dataframe(frame(spark, "a", "b"))
     checkpoint, seen = fresh_dir(spark, "cp"), []

@@ -1,7 +1,8 @@
 """Versioned datasets on a shared file system.
 
-Layout below the root: ``<rid>/<transaction>/...`` holds the files of one transaction, ``_log/<table>`` append-only
-parquet tables: datasets, branches, transactions, files, schemas. Files are written first, their manifest rows
+Layout below the root: ``<rid>/__txn=<transaction>/__folder=<top folder>/...`` holds the files of one transaction,
+named like partitions so that one scan covers many transactions; ``_log/<table>`` are append-only parquet tables:
+datasets, branches, transactions, files, schemas. Files are written first, their manifest rows
 next and the committed transaction row last; readers go by the log alone, so an unfinished transaction is never
 seen. One writer per dataset is assumed.
 
@@ -442,7 +443,12 @@ class Dataset:
     # -- files of the open transaction -----------------------------------------------------------------------
 
     def folder(self, txn: str | None = None) -> str:
-        return f"{self.store.root}/{self.rid}/{txn or self.transaction['txn']}"
+        return f"{self.store.root}/{self.rid}/{readers.TRANSACTION_FOLDER}={txn or self.transaction['txn']}"
+
+    def location(self, path: str) -> str:
+        """Where the open transaction keeps the file of a logical path."""
+        top, slash, rest = path.partition("/")
+        return f"{self.folder()}/{readers.TOP_FOLDER}={top}/{rest}" if slash else f"{self.folder()}/{path}"
 
     def _staging(self) -> str:
         return f"{self.store.root}/_log/staged/{self.rid}/{self.transaction['txn']}"
@@ -481,7 +487,7 @@ class Dataset:
             if taken and not overwrite:
                 raise errors.FileAlreadyExistsError(path)
             payload = data.encode() if isinstance(data, str) else data
-            physical = f"{self.folder()}/{path}"
+            physical = self.location(path)
             fsio.write_bytes(physical, payload)
             row = local_frame(self.spark, [(path, physical, len(payload))], "path string, physical string, length bigint")
             row = self._as_manifest(row.withColumn("modified", F.current_timestamp()))
@@ -494,9 +500,8 @@ class Dataset:
     def upload_files(self, path_file_dict: dict[str, str], *, max_workers: int | None = None, kind: str | None = None) -> Dataset:
         """Copy files into the dataset in Spark tasks: {logical path: location}."""
         with self.transaction_context(kind):
-            target = self.folder()
             pairs = self.spark.createDataFrame(
-                [(str(src), f"{target}/{path}", path) for path, src in path_file_dict.items()],
+                [(str(src), self.location(path), path) for path, src in path_file_dict.items()],
                 "source string, target string, path string",
             )
             copied = fsio.copy_files(pairs, max_workers or len(path_file_dict))
@@ -571,7 +576,7 @@ class Dataset:
             df = self.spark.createDataFrame(df.to_arrow() if type(df).__module__.startswith("polars") else df).coalesce(1)
         with self.transaction_context(kind) as t:
             folder = str(time.time_ns() // 1_000_000) if kind == "APPEND" else DATA_FOLDER
-            target = f"{self.folder()}/{folder}"
+            target = f"{self.folder()}/{readers.TOP_FOLDER}={folder}"
             writers.write_version(df, target, fmt=fmt, partition_by=partition_by, options=options)
             listed = fsio.list_frame(self.spark, target)
             name = F.lit("dataset.parquet") if local else F.col("path")
@@ -635,11 +640,11 @@ class Dataset:
         if snapshot is None and not complete and (start is None or start < oldest):
             inside, snapshot = self._long_timeline(start, end, include_open)
         live = [
-            (r["seq"], r["txn"], r["type"], r["status"], (r["file_count"] or 0) - (r["hidden_file_count"] or 0))
+            (r["seq"], r["txn"], r["type"], r["status"], r["file_count"] - r["hidden_file_count"], r["hidden_file_count"])
             for r in inside
             if snapshot is None or r["seq"] >= snapshot
         ]
-        return local_frame(self.spark, live, "seq bigint, txn string, type string, status string, written bigint")
+        return local_frame(self.spark, live, "seq bigint, txn string, type string, status string, written bigint, hidden bigint")
 
     def _long_timeline(self, start: int | None, end: int | None, include_open: bool) -> tuple[list, int | None]:
         """The same from the log, when the last snapshot is not among the newest transactions."""
@@ -691,59 +696,53 @@ class Dataset:
     def stats(self, end: str | int | None = None) -> DataFrame:
         return stats.dataset_stats(self.files(end=end))
 
-    def _units(self, start: str | int | None = None, end: str | int | None = None) -> list[tuple[str | None, list[str]]]:
+    def _located(self, start: str | int | None = None, end: str | int | None = None) -> list[tuple[str, str, str]]:
         key = ("scan", self.rid, self.branch, start, end)
         tables = ["files", "transactions", "branches"]
-        return self.store.remembered(key, tables, self.rid, lambda: self._scan_units(start=start, end=end))
+        return self.store.remembered(key, tables, self.rid, lambda: self._locate(start, end))
 
-    def _scan_units(self, *, start: str | int | None = None, end: str | int | None = None) -> list[tuple[str | None, list[str]]]:
-        """What a scan lists, as (base path, locations): a transaction's whole folder where all of its files are
-        visible, the single files where only some are; transactions with partition folders stay apart."""
+    def _locate(self, start: str | int | None, end: str | int | None) -> list[tuple[str, str, str]]:
+        """What a scan lists, as (partition base, partition names, location): the folder of a transaction where
+        all its files are in that folder and visible, the single files where only some are."""
         timeline = self.timeline(start=self._seq(start), end=self._seq(end))
-        files = self.files(timeline=timeline, exclude_hidden=True)
-        own = F.concat(F.lit(f"{self.store.root}/{self.rid}/"), F.col("txn"), F.lit("/"))
-        native = F.contains(F.col("physical"), own)
-        top = F.substring_index("path", "/", 1)
+        base, names = readers.partition_layout(F.col("physical"))
+        files = self.files(timeline=timeline, exclude_hidden=True).withColumn("base", base).withColumn("names", names)
+        folder = F.concat(
+            F.lit(f"{self.store.root}/{self.rid}/{readers.TRANSACTION_FOLDER}="), F.col("txn"),
+            F.lit(f"/{readers.TOP_FOLDER}="), F.substring_index("path", "/", 1), F.lit("/"),
+        )
         per_txn = (
-            files.groupBy("seq", "txn")
+            files.groupBy("seq", "base", "names")
             .agg(
                 F.count(F.lit(1)).alias("visible"),
-                F.bool_and(native & (F.instr("path", "/") > 0)).alias("native"),
-                F.min(top).alias("top"),
-                F.max(top).alias("last_top"),
-                F.bool_or(F.col("path").rlike("/[^/]+=[^/]*/")).alias("partitioned"),
+                F.bool_and(F.contains(F.col("physical"), folder)).alias("native"),
+                F.min(folder).alias("folder"),
+                F.max(folder).alias("other"),
             )
-            .join(timeline.select("seq", "written"), "seq")
-            .withColumn("whole", F.expr("native AND visible = written AND top = last_top"))
+            .join(timeline.select("seq", "written", "hidden"), "seq")
+            .withColumn("whole", F.expr("native AND folder = other AND visible = written AND hidden = 0"))
         )
-        plans = per_txn.select("seq", "txn", "whole", "partitioned", "top").orderBy("seq").collect()
-        single = [p["seq"] for p in plans if not p["whole"]]
-        listed: dict[int, list[str]] = {}
+        found = per_txn.select("seq", "base", "names", "whole", "folder").orderBy("seq").collect()
+        located = [(r["base"], r["names"], r["folder"]) for r in found if r["whole"]]
+        single = [r["seq"] for r in found if not r["whole"]]
         if single:
-            for row in files.where(F.col("seq").isin(single)).select("seq", "physical").collect():
-                listed.setdefault(row["seq"], []).append(row["physical"])
-        plain: list[str] = []
-        units: list[tuple[str | None, list[str]]] = []
-        for p in plans:
-            base = f"{self.folder(p['txn'])}/{p['top']}"
-            paths = [base] if p["whole"] else listed[p["seq"]]
-            if p["partitioned"]:
-                units.append((base, paths))
-            else:
-                plain += paths
-        return ([(None, plain)] if plain else []) + units
+            rows = files.where(F.col("seq").isin(single)).select("base", "names", "physical")
+            located += [tuple(r) for r in rows.collect()]
+        return located
+
+    def scan(self, files: DataFrame, doc: dict) -> DataFrame:
+        """The rows of files of a manifest frame."""
+        base, names = readers.partition_layout(F.col("physical"))
+        rows = files.select(base, names, "physical").collect()
+        return readers.scan_located(self.spark, [tuple(r) for r in rows], doc)
 
     def dataframe(self, *, start: str | int | None = None, end: str | int | None = None, doc: dict | None = None) -> DataFrame:
         """The visible rows as of ``end`` (a transaction; default now), or of the files since ``start``."""
         doc = doc or self.get_schema(end)
-        units = self._units(start, end)
-        if not units:
+        located = self._located(start, end)
+        if not located:
             return self.spark.createDataFrame([], docs.to_struct_type(doc))
-        frames = [readers.read_files(self.spark, paths, doc, base_path=base) for base, paths in units]
-        out = frames[0]
-        for frame in frames[1:]:
-            out = out.unionByName(frame)
-        return out.select(*[f"`{f['name']}`" for f in doc["fieldSchemaList"]])
+        return readers.scan_located(self.spark, located, doc)
 
     def lazy(self, txn: str | None = None) -> DataFrame:
         """Scan of the files one transaction wrote (default: the last committed), partition folders as columns."""
@@ -757,8 +756,7 @@ class Dataset:
 
     def binary(self, glob: str | None = None) -> DataFrame:
         """The visible files as (path, modificationTime, length, content); works without a schema."""
-        units = self._units()
-        return readers.read_binary(self.spark, [p for _, paths in units for p in paths], glob)
+        return readers.read_binary(self.spark, [location for _, _, location in self._located()], glob)
 
     def select_files(self, wanted: DataFrame) -> DataFrame:
         return views.changed_paths(self.files(), wanted)

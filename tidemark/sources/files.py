@@ -67,10 +67,10 @@ def list_frame(spark: SparkSession, root: str) -> DataFrame:
     _, base = resolve(root)
     base = base.rstrip("/")
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    # the source reports full URIs; the folder's own path is found in each
-    relative = F.expr(f"substring(path, locate('{base}/', path) + {len(base) + 1})")
+    # the source reports locations with their scheme; the folder's own path is found in each
+    below = F.instr("path", f"{base}/") + len(base) + 1
     return listed.select(
-        F.url_decode(F.replace(relative, F.lit("+"), F.lit("%2B"))).alias("path"),
+        F.substr("path", below).alias("path"),
         F.col("path").alias("physical"),
         "length",
         F.col("modificationTime").alias("modified"),

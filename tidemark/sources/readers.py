@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 import warnings
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,10 @@ from pyspark.sql import types as T
 from tidemark.errors import DatasetHasNoFilesError
 from tidemark.sources import schema as docs
 
+# Folder names of a written version: as partitions they let one scan cover many transactions.
+TRANSACTION_FOLDER, TOP_FOLDER = "__txn", "__folder"
+INTERNAL_FOLDERS = (TRANSACTION_FOLDER, TOP_FOLDER)
+
 
 def read_files(
     spark: SparkSession,
@@ -42,17 +47,45 @@ def read_files(
     return reader.format(fmt).options(**(options or {})).load(paths)
 
 
+def partition_layout(uri: Column) -> tuple[Column, Column]:
+    """(base, names) of a file's hive partition folders, both empty when it lies in none.
+
+    The run of ``name=value`` folders nearest to the file counts, plain folders between it and the file aside;
+    files with equal base and names can be read by one scan.
+    """
+    run, plain = r"((?:/[^/=]+=[^/]*)+)", r"(?:/[^/=]+)*/[^/]+$"
+    base = F.regexp_extract(uri, rf"^(.*?){run}{plain}", 1)
+    names = F.regexp_replace(F.regexp_extract(uri, rf"{run}{plain}", 1), "=[^/]*", "")
+    return base, names
+
+
+def scan_located(spark: SparkSession, located: list[tuple[str, str, str]], doc: dict | None = None, **kwargs) -> DataFrame:
+    """One frame of files given as (base, names, location): a scan per partition layout, put together by name."""
+    layouts: dict[tuple[str, str], list[str]] = {}
+    for base, names, location in located:
+        layouts.setdefault((base, names), []).append(location)
+    if not layouts:
+        raise DatasetHasNoFilesError("there are no files to read")
+    frames = [read_files(spark, paths, doc, base_path=base or None, **kwargs) for (base, _), paths in layouts.items()]
+    if doc is not None:
+        frames = [f.select(*[F.col(f"`{c['name']}`") for c in doc["fieldSchemaList"]]) for f in frames]
+    else:
+        frames = [f.drop(*INTERNAL_FOLDERS) for f in frames]
+    return reduce(DataFrame.unionByName, frames)
+
+
 def read_preferring_parquet(
     spark: SparkSession, files: DataFrame, *, path: str = "path", uri: str = "physical", csv_options: dict | None = None
 ) -> DataFrame:
     """All parquet files of a manifest as one frame, or its CSV files when it has no parquet file."""
     listed = files.where(F.col(path).endswith(".parquet") | F.col(path).endswith(".csv")).select(path, uri)
     # a file list goes through the driver for any Spark file source; no file content does
-    rows = listed.collect()
-    parquet = [r[uri] for r in rows if r[path].endswith(".parquet")]
+    base, names = partition_layout(F.col(uri))
+    rows = listed.select(path, base, names, uri).collect()
+    parquet = [tuple(r)[1:] for r in rows if r[path].endswith(".parquet")]
     if parquet:
-        return read_files(spark, parquet)
-    return read_files(spark, [r[uri] for r in rows], fmt="csv", options=csv_options)
+        return scan_located(spark, parquet)
+    return scan_located(spark, [tuple(r)[1:] for r in rows], fmt="csv", options=csv_options)
 
 
 def read_binary(spark: SparkSession, paths: list[str], glob: str | None = None) -> DataFrame:
@@ -117,7 +150,7 @@ def infer_schema(spark: SparkSession, paths: list[str], fmt: str, *, probe_lines
     ValueError is raised when nothing can be inferred.
     """
     if fmt == "parquet":
-        return docs.to_document(spark.read.parquet(*paths).schema)
+        return docs.to_document(spark.read.parquet(*paths).drop(*INTERNAL_FOLDERS).schema)
     if fmt == "json":
         return docs.to_document(spark.read.json(paths).schema, "json")
     if fmt != "csv":

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import is_hidden
 from tidemark.plans.store import TABLES, Dataset
-from tidemark.sources import readers
 
 
 def new_rows(dataset: Dataset, sink: Callable[[DataFrame, int], None], checkpoint: str) -> None:
@@ -27,10 +26,10 @@ def new_rows(dataset: Dataset, sink: Callable[[DataFrame, int], None], checkpoin
     def consume(batch: DataFrame, number: int) -> None:
         committed = batch.where((F.col("status") == "COMMITTED") & (F.col("branch") == dataset.branch)).select("seq")
         manifest = store.log("files", dataset.rid).where(~F.col("deleted") & ~is_hidden(F.col("path")))
-        added = manifest.join(committed, "seq", "left_semi").select("seq", "physical").collect()
-        if added:
-            doc = dataset.get_schema(max(r["seq"] for r in added))
-            sink(readers.read_files(spark, [r["physical"] for r in added], doc), number)
+        added = manifest.join(committed, "seq", "left_semi").select("seq", "physical")
+        newest = added.agg(F.max("seq")).first()[0]
+        if newest is not None:
+            sink(dataset.scan(added, dataset.get_schema(newest)), number)
 
     query = (
         log.writeStream.foreachBatch(consume)
