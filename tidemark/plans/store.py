@@ -72,7 +72,7 @@ def local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
 class Store:
     def __init__(self, spark: SparkSession, root: str | None = None, service: str = "catalog"):
         self.spark = spark
-        self.root = (root or fresh_dir(spark, "store")).rstrip("/")
+        self.root = fsio.qualify(root or fresh_dir(spark, "store")).rstrip("/")
         self.service = service
         self._clock = 0
         self._memo: dict = {}
@@ -109,9 +109,9 @@ class Store:
     def remembered(self, key: tuple, tables: list[str], rid: str | None, compute: Callable):
         """``compute()``, or its last result while no file was added to the given logs since.
 
-        Logs only ever grow by files, so their listing tells whether an answer still holds.
+        Logs only ever grow by files, so their number and size tell whether an answer still holds.
         """
-        state = tuple(fsio.file_names(f"{self.log_path(t)}/rid={rid}" if rid else self.log_path(t)) for t in tables)
+        state = tuple(fsio.fingerprint(f"{self.log_path(t)}/rid={rid}" if rid else self.log_path(t)) for t in tables)
         if key not in self._memo or self._memo[key][0] != state:
             self._memo[key] = (state, compute())
         return self._memo[key][1]
@@ -501,7 +501,7 @@ class Dataset:
         """Copy files into the dataset in Spark tasks: {logical path: location}."""
         with self.transaction_context(kind):
             pairs = self.spark.createDataFrame(
-                [(str(src), self.location(path), path) for path, src in path_file_dict.items()],
+                [(fsio.qualify(str(src)), self.location(path), path) for path, src in path_file_dict.items()],
                 "source string, target string, path string",
             )
             copied = fsio.copy_files(pairs, max_workers or len(path_file_dict))
@@ -766,7 +766,8 @@ class Dataset:
         rows = self.files()
         if paths is not None:
             rows = rows.where(F.col("path").isin(list(paths)))
-        pairs = rows.select(F.col("physical").alias("source"), F.concat(F.lit(output.rstrip("/") + "/"), "path").alias("target"))
+        target = F.concat(F.lit(fsio.qualify(output).rstrip("/") + "/"), "path")
+        pairs = rows.select(F.col("physical").alias("source"), target.alias("target"))
         copied = sorted(r["target"] for r in fsio.copy_files(pairs, max_workers).collect())
         if not copied:
             raise errors.DatasetHasNoFilesError(self.path)

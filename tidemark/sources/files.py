@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import re
 from collections.abc import Iterator
-from pathlib import PurePosixPath
+from pathlib import Path
 from typing import IO, NamedTuple
 
 import pyarrow.fs as pafs
@@ -15,62 +15,113 @@ from pyspark.sql import functions as F
 from tidemark.functions.paths import HIDDEN_PATTERN
 
 
-def resolve(uri: str) -> tuple[pafs.FileSystem, str]:
-    """(file system, path) of a URI or absolute path."""
-    if uri.startswith("file:"):
-        uri = "/" + uri.removeprefix("file:").lstrip("/")
-    return pafs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
+def hadoop(uri: str):
+    """(Hadoop file system, path) of a location, with the session's settings: what Spark itself reads and writes by."""
+    context = SparkSession.active().sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(uri)
+    return path.getFileSystem(context._jsc.hadoopConfiguration()), path
+
+
+def qualify(uri: str) -> str:
+    """The location with its scheme, so that it means the same file in a task as on the driver."""
+    fs, path = hadoop(uri)
+    return fs.makeQualified(path).toString()
+
+
+def local_path(uri: str) -> str | None:
+    """Path of a location on the driver's own file system, None for any other."""
+    full = qualify(uri)
+    return "/" + full.removeprefix("file:").lstrip("/") if full.startswith("file:") else None
 
 
 def exists(uri: str) -> bool:
-    fs, path = resolve(uri)
-    return fs.get_file_info(path).type != pafs.FileType.NotFound
+    fs, path = hadoop(uri)
+    return fs.exists(path)
 
 
-def delete_dir(uri: str) -> None:
-    fs, path = resolve(uri)
-    if fs.get_file_info(path).type == pafs.FileType.Directory:
-        fs.delete_dir(path)
+def make_dir(uri: str) -> None:
+    fs, path = hadoop(uri)
+    fs.mkdirs(path)
 
 
-def sub_dirs(uri: str) -> list[str]:
-    fs, path = resolve(uri)
-    found = fs.get_file_info(pafs.FileSelector(path, allow_not_found=True))
-    return sorted(f.base_name for f in found if f.type == pafs.FileType.Directory)
+def delete_dir(uri: str) -> None:
+    fs, path = hadoop(uri)
+    fs.delete(path, True)
 
 
-def file_names(uri: str) -> tuple[str, ...]:
-    """Sorted names of the files below a folder (none if it does not exist)."""
-    fs, path = resolve(uri)
-    found = fs.get_file_info(pafs.FileSelector(path, recursive=True, allow_not_found=True))
-    return tuple(sorted(f.path for f in found if f.type == pafs.FileType.File))
+def sub_dirs(uri: str) -> list[str]:
+    fs, path = hadoop(uri)
+    return sorted(s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()) if fs.exists(path) else []
+
+
+def fingerprint(uri: str) -> tuple[int, int]:
+    """(files, bytes) below a folder, (0, 0) if it does not exist."""
+    fs, path = hadoop(uri)
+    if not fs.exists(path):
+        return 0, 0
+    summary = fs.getContentSummary(path)
+    return summary.getFileCount(), summary.getLength()
+
+
+def open_file(uri: str, mode: str = "rb") -> IO[bytes]:
+    """A binary stream on the driver; files that are not local pass through memory as a whole."""
+    local = local_path(uri)
+    if local is not None:
+        if "r" not in mode:
+            Path(local).parent.mkdir(parents=True, exist_ok=True)
+        return open(local, "rb" if "r" in mode else "wb")  # noqa: SIM115
+    fs, path = hadoop(uri)
+    if "r" not in mode:
+        return _Upload(fs, path)
+    stream = fs.open(path)
+    try:
+        return io.BytesIO(SparkSession.active().sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    finally:
+        stream.close()
+
+
+class _Upload(io.BytesIO):
+    """Written to its Hadoop path when closed."""
+
+    def __init__(self, fs, path):
+        super().__init__()
+        self._target = fs, path
+
+    def close(self) -> None:
+        if not self.closed:
+            fs, path = self._target
+            out = fs.create(path, True)
+            out.write(self.getvalue())
+            out.close()
+        super().close()
 
 
 def write_bytes(uri: str, data: bytes) -> None:
-    fs, path = resolve(uri)
-    fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    with fs.open_output_stream(path) as out:
+    with open_file(uri, "wb") as out:
         out.write(data)
 
 
 def read_bytes(uri: str) -> bytes:
-    fs, path = resolve(uri)
-    with fs.open_input_stream(path) as source:
+    with open_file(uri) as source:
         return source.read()
 
 
+def resolve(uri: str) -> tuple[pafs.FileSystem, str]:
+    """(pyarrow file system, path) of a qualified location, for use in tasks."""
+    if uri.startswith("file:"):
+        uri = "/" + uri.removeprefix("file:").lstrip("/")
+    return pafs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
+
+
 def list_frame(spark: SparkSession, root: str) -> DataFrame:
     """Files below ``root`` that Spark reads as data: path (relative), physical, length, modified.
 
     The metadata columns of the binary source are used; no file is opened.
     """
-    _, base = resolve(root)
-    base = base.rstrip("/")
+    base = qualify(root).rstrip("/")
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    # the source reports locations with their scheme; the folder's own path is found in each
-    below = F.instr("path", f"{base}/") + len(base) + 1
     return listed.select(
-        F.substr("path", below).alias("path"),
+        F.substr("path", F.lit(len(base) + 2)).alias("path"),
         F.col("path").alias("physical"),
         "length",
         F.col("modificationTime").alias("modified"),
@@ -124,11 +175,15 @@ class FileSystem:
             for row in self._manifest.select("path", "length", millis).orderBy("path").toLocalIterator():
                 yield FileStatus(row["path"], row["length"], row["modified"])
             return
-        fs, base = resolve(self._folder)
-        selector = pafs.FileSelector(base, recursive=True, allow_not_found=True)
-        for info in sorted(fs.get_file_info(selector), key=lambda i: i.path):
-            if info.type == pafs.FileType.File:
-                yield FileStatus(info.path[len(base) :].lstrip("/"), info.size, (info.mtime_ns or 0) // 1_000_000)
+        fs, path = hadoop(self._folder)
+        if not fs.exists(path):
+            return
+        base, found, files = fs.makeQualified(path).toString(), [], fs.listFiles(path, True)
+        while files.hasNext():
+            status = files.next()
+            name = status.getPath().toString()[len(base) :].lstrip("/")
+            found.append(FileStatus(name, status.getLen(), status.getModificationTime()))
+        yield from sorted(found)
 
     def ls(self, glob: str | None = None, regex: str = ".*", show_hidden: bool = False) -> Iterator[FileStatus]:
         """Files matching a glob (``**`` spans folders) and, from its start, a regular expression."""
@@ -160,12 +215,7 @@ class FileSystem:
             uri = row["physical"]
         else:
             uri = f"{self._folder}/{path}"
-        fs, target = resolve(uri)
-        if "w" in mode:
-            fs.create_dir(target.rsplit("/", 1)[0], recursive=True)
-            stream = fs.open_output_stream(target)
-        else:
-            stream = fs.open_input_stream(target)
+        stream = open_file(uri, mode)
         return stream if "b" in mode else io.TextIOWrapper(stream, encoding=kwargs.get("encoding", "utf-8"))
 
 
@@ -189,4 +239,4 @@ def glob_to_regex(glob: str) -> str:
 def _glob_matches(path: str, glob: str) -> bool:
     if glob == "*/**":  # names everything, files at the top included
         return True
-    return re.match(glob_to_regex(glob), str(PurePosixPath(path))) is not None
+    return re.match(glob_to_regex(glob), path) is not None
