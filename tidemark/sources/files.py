@@ -7,6 +7,7 @@ import re
 from collections.abc import Iterator
 from pathlib import Path
 from typing import IO, NamedTuple
+from weakref import WeakKeyDictionary
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +16,18 @@ from pyspark.sql import functions as F
 from tidemark.functions.paths import HIDDEN_PATTERN
 
 
+# looking these up takes several calls to the JVM
+_handles: WeakKeyDictionary = WeakKeyDictionary()
+
+
 def hadoop(uri: str):
     """(Hadoop file system, path) of a location, with the session's settings: what Spark itself reads and writes by."""
     context = SparkSession.active().sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(uri)
-    return path.getFileSystem(context._jsc.hadoopConfiguration()), path
+    if context not in _handles:
+        _handles[context] = context._jvm.org.apache.hadoop.fs.Path, context._jsc.hadoopConfiguration()
+    new_path, settings = _handles[context]
+    path = new_path(uri)
+    return path.getFileSystem(settings), path
 
 
 def qualify(uri: str) -> str:
