@@ -36,6 +36,7 @@ def encode(column: Column, values: list[str]) -> Column:
 
 
 def decode(code: Column, values: list[str]) -> Column:
+    # element_at would not give NULL for a NULL code under ANSI mode
     return F.get(F.array(*map(F.lit, values)), code - 1)
 
 
