@@ -128,7 +128,7 @@ def mix(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, shards: int = SH
     drawn = (
         spark.createDataFrame(runs, "g long, shard int, first long, count long, n_blocks long")
         .withColumn("part", F.explode(F.expr(f"sequence(0L, (count - 1) div {SLOTS_A_ROW})")))
-        .repartition(F.col("g"), F.col("shard"), F.col("part"))
+        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "g", "shard", "part")
         .withColumn("j", F.explode(F.expr(f"sequence(first + part * {SLOTS_A_ROW}, first + least(count, (part + 1) * {SLOTS_A_ROW}) - 1)")))
         .select("g", "shard", "j", "n_blocks")
         .mapInPandas(_slot_blocks, "g long, shard int, j long, epoch long, block long")
@@ -142,7 +142,8 @@ def mix(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, shards: int = SH
         (F.greatest(F.expr("block * block_words"), F.col("start")) - F.col("start")).alias("first"),
         (F.least(F.expr("(block + 1) * block_words"), F.expr("start + size")) - F.greatest(F.expr("block * block_words"), F.col("start"))).alias("length"),
     )
-    return sources, pieces.join(drawn, ["g", "block"]).select("rid", "g", "shard", "j", "epoch", "first", "length")
+    # the plan's size estimate knows nothing of the explosion: never broadcast the slots
+    return sources, pieces.join(drawn.hint("merge"), ["g", "block"]).select("rid", "g", "shard", "j", "epoch", "first", "length")
 
 
 def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
