@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,53 +18,78 @@ LENGTH = 4096
 END = 2
 MOST_OPEN = 1024
 CHUNK_BYTES = 2 << 20
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
+
+
+class _Numbers(dict):
+    """Numbers words in order of arrival; ``new`` has those not numbered before."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
 
 
 class WordTokens:
     """Token ids of texts, word by word: the tokenizer never joins across ASCII white space and drops it.
 
-    The ids of a word are kept for later texts, up to a bounded number of words and ids, then all are forgotten.
+    The ids of a word are kept for later texts. Beyond a bounded number of words or bytes only words that came
+    several times stay, or none if these are too many as well.
     """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task for each core
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cached = Tokenizer.from_file(path), cached
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.starts = np.zeros(1 << 14, np.int64)
+        self.known, self.bytes = _Numbers(), 0
+        self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.hits = np.zeros(0, np.int64)
+
+    def _trim(self) -> None:
+        often = self.hits > 2
+        if int(often.sum()) > self.cached // 2 or self.bytes > 32 * self.cached:
+            return self._forget()
+        lengths = np.diff(self.starts)
+        self.flat = self.flat[np.repeat(often, lengths)]
+        self.starts = np.r_[0, np.cumsum(lengths[often])]
+        words = [w for w, keep in zip(self.known, often.tolist(), strict=True) if keep]
+        self.known, self.bytes = _Numbers(), sum(map(len, words))
+        self.known.update(zip(words, range(len(words)), strict=True))
+        self.hits = np.ones(len(words), np.int64)
 
     def _learn(self, words: list[bytes]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
+        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+        ids = [e.ids for e in found]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        first, used = len(self.known), int(self.starts[len(self.known)])
-        total = used + int(lengths.sum())
-        if total > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * total)
-        if first + len(ids) + 1 > len(self.starts):
-            self.starts = np.resize(self.starts, 2 * (first + len(ids) + 1))
-        self.flat[used:total] = np.concatenate([np.array(i, np.uint32) for i in ids]) if total > used else 0
-        self.starts[first + 1 : first + len(ids) + 1] = used + np.cumsum(lengths)
-        self.known.update(zip(words, range(first, first + len(ids)), strict=True))
+        self.starts = np.r_[self.starts, self.starts[-1] + np.cumsum(lengths)]
+        self.flat = np.r_[self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))]
+        self.hits = np.r_[self.hits, np.zeros(len(ids), np.int64)]
+        self.bytes += sum(map(len, words))
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        if len(self.known) > self.cached or self.starts[len(self.known)] > 8 * self.cached:
-            self._forget()
+        if len(self.known) > self.cached or self.bytes > 16 * self.cached:
+            self._trim()
         split = [t.split() for t in texts]
-        new = list(dict.fromkeys(w for words in split for w in words if w not in self.known))
-        if new:
-            self._learn(new)
-        known, out = self.known, []
-        for words in split:
-            at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        number = self.known.__getitem__
+        found = [np.fromiter(map(number, words), np.int64, len(words)) for words in split]
+        if self.known.new:
+            self._learn(self.known.new)
+            self.known.new = []
+        out = []
+        for at in found:
             first = self.starts[at]
             lengths = self.starts[at + 1] - first
             ends = np.cumsum(lengths)
             out.append(self.flat[np.repeat(first - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)])
+        self.hits += np.bincount(np.concatenate(found), minlength=len(self.hits)) if found else 0
         return out
 
 
@@ -171,7 +198,9 @@ _tokens: dict[str, WordTokens] = {}
 
 def _packed(path: str, length: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _tokens.setdefault(path, WordTokens(path))
+        if path not in _tokens:  # stays in the worker for its later tasks
+            _tokens[path] = WordTokens(path)
+        encoder = _tokens[path]
         sequence = TaskContext.get().partitionId() << 36
 
         def items() -> Iterator[tuple[object, np.ndarray]]:
