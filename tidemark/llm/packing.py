@@ -19,6 +19,8 @@ END = 2
 MOST_OPEN = 1024
 CHUNK_BYTES = 2 << 20
 CACHED_WORDS = 600_000
+MARKS = b".,!?;:|%$#&*"
+JOINED = 64
 
 
 class _Numbers(dict):
@@ -37,8 +39,9 @@ class _Numbers(dict):
 class WordTokens:
     """Token ids of texts, word by word: the tokenizer never joins across ASCII white space and drops it.
 
-    The ids of a word are kept for later texts. Beyond a bounded number of words or bytes only words that came
-    several times stay, or none if these are too many as well.
+    A word is cut once more before its last run of marks if a letter precedes them, which the tokenizer does too, and
+    A-Z are lower-cased, as it does. The ids of words and parts are kept for later texts. Beyond a bounded number of
+    words or bytes only words that came several times stay, or none if these are too many as well.
     """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS) -> None:
@@ -46,33 +49,65 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cached = Tokenizer.from_file(path), cached
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        self.ends_word[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
-        self.known, self.bytes = _Numbers(), 0
-        self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.known, self.parts, self.bytes = _Numbers(), _Numbers(), 0
+        self.halves = np.zeros((0, 2), np.int64)  # the two parts of each word
+        self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)  # the ids of each part
         self.hits = np.zeros(0, np.int64)
 
     def _trim(self) -> None:
         often = self.hits > 2
-        if int(often.sum()) > self.cached // 2 or self.bytes > 32 * self.cached:
-            return self._forget()
-        lengths = np.diff(self.starts)
-        self.flat = self.flat[np.repeat(often, lengths)]
-        self.starts = np.r_[0, np.cumsum(lengths[often])]
         words = [w for w, keep in zip(self.known, often.tolist(), strict=True) if keep]
-        self.known, self.bytes = _Numbers(), sum(map(len, words))
+        if len(words) > self.cached // 2 or sum(map(len, words)) > 8 * self.cached:
+            return self._forget()
+        old, lengths, parts = self.halves[often], np.diff(self.starts), list(self.parts)
+        used = np.unique(old)
+        kept = np.zeros(len(parts), bool)
+        kept[used] = True
+        self.flat, self.starts = self.flat[np.repeat(kept, lengths)], np.r_[0, np.cumsum(lengths[used])]
+        self.known, self.parts = _Numbers(), _Numbers()
         self.known.update(zip(words, range(len(words)), strict=True))
-        self.hits = np.ones(len(words), np.int64)
+        self.parts.update((parts[k], n) for n, k in enumerate(used.tolist()))
+        self.halves, self.hits = np.searchsorted(used, old), np.ones(len(words), np.int64)
+        self.bytes = sum(map(len, words))
 
     def _learn(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        ids = [e.ids for e in found]
+        number, halves = self.parts.__getitem__, []
+        for word in words:
+            core = word.rstrip(MARKS)
+            if len(core) < len(word) and not core[-4:].decode("utf-8", "ignore")[-1:].isalpha():
+                core = word
+            halves.append((number(core.lower()), number(word[len(core) :])))
+        self.halves = np.r_[self.halves, np.array(halves, np.int64)]
+        self.hits = np.r_[self.hits, np.zeros(len(words), np.int64)]
+        self.bytes += sum(map(len, words))
+        new, self.parts.new = [p.decode("utf-8", "replace") for p in self.parts.new], []
+        if not new:
+            return
+        # letters only is one word to the tokenizer, so many can be encoded as one text and told apart again
+        plain = [k for k, p in enumerate(new) if p.isalpha()]
+        other = [k for k, p in enumerate(new) if not p.isalpha()]
+        ids: list[list[int]] = [[]] * len(new)
+        joined = [plain[k : k + JOINED] for k in range(0, len(plain), JOINED)]
+        for group, tokens in zip(joined, self._ids([" ".join([new[k] for k in g]) for g in joined]), strict=True):
+            cuts = (np.flatnonzero(self.ends_word[tokens]) + 1).tolist()
+            if len(cuts) == len(group):
+                for k, i, j in zip(group, [0, *cuts], cuts, strict=False):
+                    ids[k] = tokens[i:j]
+            else:
+                other += group
+        for k, tokens in zip(other, self._ids([new[k] for k in other]), strict=True):
+            ids[k] = tokens
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         self.starts = np.r_[self.starts, self.starts[-1] + np.cumsum(lengths)]
         self.flat = np.r_[self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))]
-        self.hits = np.r_[self.hits, np.zeros(len(ids), np.int64)]
-        self.bytes += sum(map(len, words))
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self.known) > self.cached or self.bytes > 16 * self.cached:
@@ -81,12 +116,13 @@ class WordTokens:
         number = self.known.__getitem__
         found = [np.fromiter(map(number, words), np.int64, len(words)) for words in split]
         if self.known.new:
-            self._learn(self.known.new)
-            self.known.new = []
+            new, self.known.new = self.known.new, []
+            self._learn(new)
         out = []
         for at in found:
-            first = self.starts[at]
-            lengths = self.starts[at + 1] - first
+            parts = self.halves[at].ravel()
+            first = self.starts[parts]
+            lengths = self.starts[parts + 1] - first
             ends = np.cumsum(lengths)
             out.append(self.flat[np.repeat(first - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)])
         self.hits += np.bincount(np.concatenate(found), minlength=len(self.hits)) if found else 0
