@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tidemark.llm import exact, language, mixing, packing, sharding, simhash
+from tidemark.llm import exact, language, mixing, packing, quality, sharding, simhash, sketches
 
 QUERIES = {
+    "op1_attention_quality": quality.op1_attention_quality,
     "op3_stratified_shards": sharding.op3_stratified_shards,
     "op4_simhash_groups": simhash.op4_simhash_groups,
     "op5_language": language.op5_language,
+    "op6_paragraph_sketches": sketches.op6_paragraph_sketches,
     "op7_exact_groups": exact.op7_exact_groups,
     "op8_squares_packing": packing.op8_squares_packing,
     "op10_mixture": mixing.op10_mixture,
