@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import exact, language, mixing, packing, quality, sharding, simhash, sketches
+from tidemark.llm import exact, language, mixing, packing, quality, recurrent, sharding, simhash, sketches
 
 QUERIES = {
     "op1_attention_quality": quality.op1_attention_quality,
+    "op2_recurrent_likelihood": recurrent.op2_recurrent_likelihood,
     "op3_stratified_shards": sharding.op3_stratified_shards,
     "op4_simhash_groups": simhash.op4_simhash_groups,
     "op5_language": language.op5_language,
