@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.base import bounded_side, documents, utf8
+from tidemark.llm.base import documents, stored, utf8
 
 CELLS = 15  # of the written fingerprint
 HASHES = 3
@@ -20,6 +20,7 @@ GROWTH = 4
 CUT = 8  # a paragraph of running text has about so many words
 CHUNK_BYTES = 1 << 20
 RANGE_BYTES = 8 << 20
+MOST_RANGES = 100_000  # beyond it ranges grow; they are streamed, and their bounds are broadcast
 
 _SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 _POWERS = np.cumprod(np.full(64, 0x100000001B3, np.uint64))
@@ -223,7 +224,7 @@ def version_sketches(rows: DataFrame, text: str = "text", key: str = "doc_id", r
     size = keyed.agg(F.sum(F.octet_length("content")).alias("bytes"), F.count(F.lit(1)).alias("n"), F.min("k"), F.max("k")).first()
     if not size.n:
         return spark.createDataFrame([], _RESULT)
-    wanted = max(1, -(-(size.bytes + 100 * size.n) // range_bytes))
+    wanted = min(MOST_RANGES, max(1, -(-(size.bytes + 100 * size.n) // range_bytes)))
     cuts = keyed.select("k").stat.approxQuantile("k", [i / wanted for i in range(1, wanted)], 1 / (20 * wanted)) if wanted > 1 else []
     bounds = np.unique(np.array(cuts, np.float64)).astype(np.int64)
 
@@ -232,10 +233,10 @@ def version_sketches(rows: DataFrame, text: str = "text", key: str = "doc_id", r
         return pd.Series(np.searchsorted(bounds, k.to_numpy(), "right").astype(np.int32))
 
     placed = keyed.withColumn("range", range_of("k"))
-    firsts = bounded_side(placed.groupBy("range").agg(F.min(F.struct("k", "tie")).alias("f")).select("range", "f.*"), "range-firsts")
+    firsts = stored(placed.groupBy("range").agg(F.min(F.struct("k", "tie")).alias("f")).select("range", "f.*"), "range-firsts")
     order = sorted(r["range"] for r in firsts.select("range").collect())
     previous = spark.createDataFrame([(r, order[i - 1]) for i, r in enumerate(order)], "range int, previous int")
-    heads = firsts.join(F.broadcast(previous), "range").withColumnsRenamed({"k": "hk", "tie": "htie"})
+    heads = F.broadcast(firsts.join(F.broadcast(previous), "range").withColumnsRenamed({"k": "hk", "tie": "htie"}))
     is_first = (F.col("k") == F.col("hk")) & (F.col("tie") == F.col("htie"))
     home = F.struct(F.lit(False).alias("borrowed"), F.col("range").alias("at"))
     lent = F.struct(F.lit(True).alias("borrowed"), F.col("previous").alias("at"))
