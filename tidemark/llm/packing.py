@@ -18,9 +18,10 @@ LENGTH = 4096
 END = 2
 MOST_OPEN = 1024
 CHUNK_BYTES = 2 << 20
-CACHED_WORDS = 600_000
+CACHED_WORDS = 1_200_000
 MARKS = b".,!?;:|%$#&*"
 JOINED = 64
+_ASCII_LETTERS = frozenset(bytes([c]) for c in b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 
 
 class _Numbers(dict):
@@ -79,7 +80,7 @@ class WordTokens:
         number, halves = self.parts.__getitem__, []
         for word in words:
             core = word.rstrip(MARKS)
-            if len(core) < len(word) and not core[-4:].decode("utf-8", "ignore")[-1:].isalpha():
+            if len(core) < len(word) and core[-1:] not in _ASCII_LETTERS and not core[-4:].decode("utf-8", "ignore")[-1:].isalpha():
                 core = word
             halves.append((number(core.lower()), number(word[len(core) :])))
         self.halves = np.r_[self.halves, np.array(halves, np.int64)]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import exact, language, mixing, packing, quality, recurrent, sharding, simhash, sketches
+from tidemark.llm import exact, language, mixing, packing, quality, recurrent, repeats, sharding, simhash, sketches
 
 QUERIES = {
     "op1_attention_quality": quality.op1_attention_quality,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_paragraph_sketches": sketches.op6_paragraph_sketches,
     "op7_exact_groups": exact.op7_exact_groups,
     "op8_squares_packing": packing.op8_squares_packing,
+    "op9_repeated_passages": repeats.op9_repeated_passages,
     "op10_mixture": mixing.op10_mixture,
 }
 
