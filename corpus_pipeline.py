@@ -1,6 +1,7 @@
 """Documents from raw to packed: quality, exact copies, near copies, mixture, packing. A stage calls one operator.
 
-Every stage is written as Parquet to the shared folder and read again as the documents of the next.
+Every stage is written as Parquet to the shared folder and read again as the documents of the next. All stages but
+the last return the columns they got.
 """
 
 from __future__ import annotations
@@ -8,23 +9,52 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import exact
+from tidemark.llm import exact, mixing, packing, quality, simhash
 from tidemark.llm.base import documents, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the attention classifier, fitted on the labels, gives 0.5 or more."""
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.accepted(docs, model)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id stays."""
     return exact.distinct_rows(docs)
 
 
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of fingerprints linked by two or fewer bits the row with the least doc_id stays."""
+    return simhash.distinct_rows(docs, shingle=3, most_bits=2)
+
+
+def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The words that the mixture takes: a row each time words of a document are taken, with these words."""
+    return mixing.mixed_rows(docs)
+
+
+def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the mixed documents in sequences of 4096 tokens."""
+    import public_tokenizers
+
+    pieces = packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", quality_classifier),
     ("exact dedup", exact_dedup),
+    ("SimHash near-dedup", simhash_near_dedup),
+    ("mixing sources to target weights", source_mixture),
+    ("packing", sequence_packing),
 ]
 
-# attention, near copies and draws from hashes are not expressed in SQL
+# a trained classifier, XXH64 fingerprints and seeded draws are not expressed in SQL
 ORACLE_SQL = None
 
 

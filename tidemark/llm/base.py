@@ -43,8 +43,11 @@ def bounded_side(df: DataFrame, label: str) -> DataFrame:
 
 
 def batch_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a binary Arrow column without a copy, and the offset of each row (one more than rows)."""
-    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    """The bytes of a binary or string Arrow column without a copy, and the offset of each row (one more than rows).
+
+    Null rows have no bytes.
+    """
+    kind = np.int64 if pa.types.is_large_binary(column.type) or pa.types.is_large_string(column.type) else np.int32
     _, ends, data = column.buffers()
     offsets = np.frombuffer(ends, kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     return (np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)), offsets

@@ -11,7 +11,6 @@ from pathlib import Path
 
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -147,14 +146,10 @@ def _rank(row: tuple) -> tuple:
 
 def _local(fit_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = TaskContext.get().partitionId() << 36
-
         def records() -> Iterator[tuple[bytes, tuple]]:
-            rid = base
             for b in batches:
-                for doc_id, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                for rid, doc_id, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
                     yield content.as_py(), (doc_id, rid)
-                    rid += 1
 
         def out() -> Iterator[tuple]:
             for content, rows in classes(records(), fit_bytes):
@@ -189,7 +184,7 @@ def _across(fit_bytes: int):
 
 
 def groups(rows: DataFrame, text: str = "text", key: str = "doc_id", fit_bytes: int = FIT_BYTES) -> DataFrame:
-    """Per row: doc_id, keep_id, group_size, kept, text_sha256. Of rows with equal text the one with the largest id stays.
+    """Per row: rid (its place), doc_id, keep_id, group_size, kept, text_sha256. Of rows with equal text the one with the largest id stays.
 
     Each task first groups its own rows, so a text held by a third of all rows leaves it once; only these leaders, with
     their counts, are shuffled by hash and grouped again, and the rows find their group through their leader.
@@ -197,28 +192,26 @@ def groups(rows: DataFrame, text: str = "text", key: str = "doc_id", fit_bytes:
     Null texts count as empty, and all empty texts are equal. Of rows that share text and id exactly one stays; a
     null id stays only where no other is there. Texts of any length are compared whole. An empty table gives no rows.
     """
-    local = stored(rows.select(F.col(key).cast("long").alias("doc_id"), utf8(text).alias("content")).mapInArrow(_local(fit_bytes), "rid long, doc_id long, leader long, content binary, sha256 string, copies long, top_id long, top_rid long"), "local-classes")
+    local = stored(rows.select(F.monotonically_increasing_id().alias("rid"), F.col(key).cast("long").alias("doc_id"), utf8(text).alias("content")).mapInArrow(_local(fit_bytes), "rid long, doc_id long, leader long, content binary, sha256 string, copies long, top_id long, top_rid long"), "local-classes")
     leaders = local.filter("copies IS NOT NULL").select("content", "leader", "copies", "top_id", "top_rid")
     final = leaders.repartition(F.xxhash64("content")).mapInArrow(_across(fit_bytes), "leader long, keep_id long, keep_rid long, group_size long")
     return local.select("rid", "doc_id", "leader", "sha256").join(final, "leader").select(
-        "doc_id", "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"), F.col("sha256").alias("text_sha256")
+        "rid", "doc_id", "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"), F.col("sha256").alias("text_sha256")
     )
 
 
 def distinct_rows(rows: DataFrame, text: str = "text", key: str = "doc_id", fit_bytes: int = FIT_BYTES) -> DataFrame:
-    """The rows that stay, with all their columns: one for each text. Cases as in ``groups``."""
-    columns = [F.col(c).alias(f"_c{i}") for i, c in enumerate(rows.columns)]
-    known = groups(rows, text, key, fit_bytes).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    # rows that share id and text are alike but for other columns: one of them is taken
-    kept = rows.select(*columns, F.col(key).cast("long").alias("_id"), F.sha2(utf8(text), 256).alias("_sha")).join(
-        known.withColumnRenamed("_id", "_kid").withColumnRenamed("_sha", "_ksha"), F.col("_id").eqNullSafe(F.col("_kid")) & (F.col("_sha") == F.col("_ksha")), "left_semi"
-    )
-    return kept.dropDuplicates(["_id", "_sha"]).select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(rows.columns)])
+    """The rows that stay, with all their columns: one for each text. Cases as in ``groups``.
+
+    Rows are found again by their place, so they must come in the same partitions and order each time, as from files.
+    """
+    kept = groups(rows, text, key, fit_bytes).filter("kept").select(F.col("rid").alias("_exact_rid"))
+    return rows.withColumn("_exact_rid", F.monotonically_increasing_id()).join(kept.hint("merge"), "_exact_rid", "left_semi").drop("_exact_rid")
 
 
 def op7_exact_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts over all documents."""
-    return groups(documents(spark, sf_dir))
+    return groups(documents(spark, sf_dir)).drop("rid")
 
 
 OP7_SQL = """

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -146,6 +148,50 @@ def mix(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, shards: int = SH
     return sources, pieces.join(drawn.hint("merge"), ["g", "block"]).select("rid", "g", "shard", "j", "epoch", "first", "length")
 
 
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def taken_text(text: str, spans: list[tuple[int, int]]) -> str:
+    """The words of (first, count) spans, in order; neighbouring spans are one, others are joined by a newline."""
+    edges = [(m.start(), m.end()) for m in _WORD.finditer(text)]
+    if sum(n for _, n in spans) == len(edges):
+        return text
+    merged: list[list[int]] = []
+    for first, count in sorted(spans):
+        if merged and merged[-1][1] == first:
+            merged[-1][1] += count
+        else:
+            merged.append([first, first + count])
+    return "\n".join(text[edges[a][0] : edges[b - 1][1]] for a, b in merged)
+
+
+def _taken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        texts = [taken_text(t.as_py(), [(s["first"], s["length"]) for s in spans.as_py()]) for t, spans in zip(b.column(1), b.column(2), strict=True)]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["rest", "text"])
+
+
+def mixed_rows(rows: DataFrame, text: str = "text", length: str = "n_chars") -> DataFrame:
+    """The mixture as rows with the columns of ``rows``: a row for each time some of its words are taken, with these words.
+
+    A row whose words are all taken keeps its whole text; ``length``, if there is such a column, becomes the length of the new text in
+    characters. Rows without words are in no mixture. Other cases as in ``mix``. Rows are found again by their place, so they must
+    come in the same partitions and order each time, as from files.
+    """
+    placed = rows.withColumn("_mix_rid", F.monotonically_increasing_id())
+    sized = stored(sizes_of(placed.drop("size"), text).select(F.col("_mix_rid").alias("rid"), "doc_id", "source", "size"), "sizes")
+    _, pieces = mix(sized)
+    per_row = pieces.groupBy("rid", "epoch").agg(F.collect_list(F.struct("first", "length")).alias("spans")).select(F.col("rid").alias("_mix_rid"), "spans")
+    others = [c for c in rows.columns if c != text]
+    rest = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(others)])
+    joined = placed.join(per_row.hint("merge"), "_mix_rid").select(rest.alias("rest"), F.col(text).alias("text"), "spans")
+    made = joined.mapInArrow(_taken, f"rest {joined.schema['rest'].dataType.simpleString()}, text string")
+    new = {c: F.col(f"rest.c{i}") for i, c in enumerate(others)} | {text: F.col("text")}
+    if length in new:
+        new[length] = F.char_length("text").cast(rows.schema[length].dataType)
+    return made.select(*[new[c].alias(c) for c in rows.columns])
+
+
 def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed by the weights 3, 1, 2; words taken of each."""
     sized = stored(sizes_of(documents(spark, sf_dir)).select(F.monotonically_increasing_id().alias("rid"), "doc_id", "source", "size"), "sizes")

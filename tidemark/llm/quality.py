@@ -231,6 +231,21 @@ def score(rows: DataFrame, model: AttentionModel, text: str = "text") -> DataFra
     return rows.select(*kept, utf8(text).alias("_text")).mapInArrow(run, schema)
 
 
+def accepted(rows: DataFrame, model: AttentionModel, text: str = "text") -> DataFrame:
+    """The rows whose text scores 0.5 or more, with all their columns. Cases as in ``score``."""
+    sent, at = rows.sparkSession.sparkContext.broadcast(model), rows.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offsets = batch_bytes(b.column(at))
+            scores = [np.zeros(0)]
+            for i, j in chunks(offsets, CHUNK_BYTES):
+                scores.append(sent.value.score(*encode(data, offsets[i : j + 1])))
+            yield b.filter(pa.array(np.concatenate(scores) >= 0.5))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def op1_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, learned from the labels of those whose remainder is not 1."""
     docs = documents(spark, sf_dir).withColumn("held_out", remainder(3) == 1)

@@ -196,7 +196,8 @@ def links(prints: DataFrame, most_bits: int = MOST_BITS, hot: int = HOT) -> Data
 
 
 def near_groups(rows: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, most_bits: int = MOST_BITS) -> DataFrame:
-    """Per row: rid (its own number), the key as doc_id, fp (64 bits) and component_id, the least key that can be reached.
+    """Per row: rid (its place), the key as doc_id, fp (64 bits), label (of its group) and component_id, the least key that
+    can be reached.
 
     Equal fingerprints are one node from the start, so a group of copies of any size is one fingerprint in the tries.
     Null and empty texts have fingerprint 0 and are linked like any other. Null keys count for no least key; a
@@ -209,7 +210,18 @@ def near_groups(rows: DataFrame, text: str = "text", key: str = "doc_id", shingl
     label = components(links(nodes.select("fp"), most_bits), "label").withColumnRenamed("a", "fp")
     named = nodes.join(label, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    return prints.join(named.join(least, "label").select("fp", "component_id"), "fp")
+    return prints.join(named.join(least, "label").select("fp", "label", "component_id"), "fp")
+
+
+def distinct_rows(rows: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, most_bits: int = MOST_BITS) -> DataFrame:
+    """One row of each group, with all its columns: the one with the least key, null keys last. Cases as in ``near_groups``.
+
+    Rows are found again by their place, so they must come in the same partitions and order each time, as from files.
+    """
+    found = near_groups(rows, text, key, shingle, most_bits)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "rid"))
+    kept = found.groupBy("label").agg(first.alias("first")).select(F.col("first.rid").alias("_near_rid"))
+    return rows.withColumn("_near_rid", F.monotonically_increasing_id()).join(kept.hint("merge"), "_near_rid", "left_semi").drop("_near_rid")
 
 
 def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
