@@ -318,11 +318,13 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, hot: int = HOT) ->
     A text of one repeated byte repeats itself. Very long texts are read in slices. No rows: no rows.
     """
     runs = stored(docs.select("rid", "content").mapInArrow(_runs(length), "rid long, start long, n long, anchor long, digest long").select("rid", F.col("start").cast("int"), F.col("n").cast("int"), "anchor", "digest"), "stretches")
-    shared = (
+    # stored, so that the join's both sides are plain shuffles, which adaptive execution splits at a hot anchor
+    shared = stored(
         runs.groupBy("anchor")
         .agg(F.count(F.lit(1)).alias("times"), F.min("digest").alias("d"), F.max("digest").alias("e"))
         .filter("times > 1")
-        .select("anchor", (F.col("d") == F.col("e")).alias("alike"), (F.col("times") > hot).alias("hot"))
+        .select("anchor", (F.col("d") == F.col("e")).alias("alike"), (F.col("times") > hot).alias("hot")),
+        "shared-anchors",
     )
     found = runs.select("rid", "start", "n", "anchor").join(shared.hint("merge"), "anchor").groupBy("rid").agg(F.collect_list(F.struct("start", "n", "anchor", "alike", "hot")).alias("found"))
     touched = stored(docs.select("rid", "content").join(found.hint("merge"), "rid"), "touched")
