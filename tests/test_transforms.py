@@ -240,11 +240,11 @@ def test_preview_samples_large_inputs_and_builds_do_not(spark):
     def same(big):
         return big
 
-    preview = Context(store, preview=True, size_threshold_mb=0.0, sample_rows=10)
-    with pytest.warns(UserWarning, match="Retrieving subset"):
+    preview = Context(store, preview=True, sample_rows=10)
+    with pytest.warns(UserWarning, match="stand for the whole input"):
         assert same.compute(preview).count() == 10
     preview.sample_random = True
-    with pytest.warns(UserWarning, match="Retrieving subset"):
+    with pytest.warns(UserWarning, match="stand for the whole input"):
         assert same.compute(preview).distinct().count() == 10
     preview.force_full = True
     assert same.compute(preview).count() == 1000

@@ -112,7 +112,7 @@ def test_branch_cycle_is_refused(spark):
         [("d", "a", "b", 1), ("d", "b", "a", 1)], "rid string, branch string, parent string, fork_seq bigint"
     )
     with pytest.raises(ValueError, match="cycle"):
-        branches.branch_lineage(known, max_depth=4)
+        branches.branch_lineage(known)
 
 
 def test_fallback_of_unknown_dataset_is_null(spark):

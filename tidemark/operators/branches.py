@@ -13,12 +13,12 @@ from tidemark.session import materialize, measured_side
 UNBOUNDED = (1 << 63) - 1
 
 
-def branch_lineage(branches: DataFrame, max_depth: int = 32) -> DataFrame:
+def branch_lineage(branches: DataFrame) -> DataFrame:
     """(rid, branch, source, max_seq): transactions of ``source`` up to ``max_seq`` belong to ``branch``.
 
     Every step follows one parent link, and the tightest fork bound on the way applies. The loop ends when no
-    branch has a parent left; ``max_depth`` guards against a cycle in the parent links. Levels are written out,
-    which keeps each step one join deep.
+    branch has a parent left. A chain longer than its dataset has branches runs in a cycle, which is an error.
+    Levels are written out, which keeps each step one join deep.
     """
     links = branches.select(
         "rid", F.col("branch").alias("source"), F.col("parent").alias("next"), F.col("fork_seq").alias("bound")
@@ -27,7 +27,8 @@ def branch_lineage(branches: DataFrame, max_depth: int = 32) -> DataFrame:
         branches.select("rid", "branch", F.col("branch").alias("source"), F.lit(UNBOUNDED).alias("max_seq")), "lineage"
     )
     lineage = level
-    for _ in range(max_depth):
+    longest = branches.groupBy("rid").count().agg(F.max("count")).first()[0] or 0
+    for _ in range(longest):
         level, found = materialize(
             level.join(links, ["rid", "source"])
             .where(F.col("next").isNotNull())
@@ -42,7 +43,9 @@ def branch_lineage(branches: DataFrame, max_depth: int = 32) -> DataFrame:
         if not found:
             return lineage
         lineage = lineage.unionByName(level)
-    raise ValueError(f"branch parents nest deeper than {max_depth}; is there a cycle?")
+    if longest:
+        raise ValueError("the parent links of branches form a cycle")
+    return lineage
 
 
 def inherited_ops(ops: DataFrame, lineage: DataFrame) -> DataFrame:

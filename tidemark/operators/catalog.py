@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import warnings
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import ancestors, basename, is_dataset_rid, parent
@@ -119,11 +120,13 @@ def search_resources(
     roles: list[str] | None = None,
     organizations: list[str] | None = None,
     sort: tuple[str, str] = ("NAME", "ASC"),
-    page_size: int = MAX_PAGE,
+    page_size: int | None = MAX_PAGE,
     after: tuple | None = None,
 ) -> DataFrame:
     """One page of resources by text and membership, sorted; ``after`` = (sort value, rid) of the last row seen.
 
+    ``page_size`` None gives everything found; :func:`search_pages` follows the pages to the end.
+
     Membership filters test the array columns tags, roles and organizations for any overlap.
     """
     rows = resources
@@ -139,7 +142,20 @@ def search_resources(
     if after is not None:
         rows = rows.where(_past(SORT_FIELDS[field], direction == "DESC", after))
     order = key.asc() if direction == "ASC" else key.desc()
-    return rows.orderBy(order, F.col("rid").asc()).limit(page_size_within(page_size))
+    found = rows.orderBy(order, F.col("rid").asc())
+    return found if page_size is None else found.limit(max(MIN_PAGE, page_size))
+
+
+def search_pages(resources: DataFrame, *, sort: tuple[str, str] = ("NAME", "ASC"), page_size: int = MAX_PAGE, **filters) -> Iterator[list[Row]]:
+    """All pages of :func:`search_resources`, one after another."""
+    after = None
+    while True:
+        page = search_resources(resources, sort=sort, page_size=page_size, after=after, **filters).collect()
+        if page:
+            yield page
+        if len(page) < max(MIN_PAGE, page_size):
+            return
+        after = (page[-1][SORT_FIELDS[sort[0]]], page[-1]["rid"])
 
 
 def page_size_within(size: int, low: int = MIN_PAGE, high: int = MAX_PAGE) -> int:
@@ -166,22 +182,12 @@ def file_page(files: DataFrame, *, page_size: int = FILE_PAGE, start_path: str |
 def events_page(events: DataFrame, types: list[str], limit: int, after: int | None = None) -> DataFrame:
     """The next ``limit`` events of the given types by id, past the cursor.
 
-    Ids are probed upwards in widening stretches until enough events are found, so the scan is bounded from both
-    sides (parquet skips the rest by its statistics) and no task has to keep a page of its own.
+    One job: every task keeps its ``limit`` smallest ids, and the cursor is a filter of the scan.
     """
     rows = events.where(F.col("event_type").isin(types))
     if after is not None:
         rows = rows.where(F.col("event_id") > after)
-    bounds = rows.agg(F.min("event_id").alias("low"), F.max("event_id").alias("high")).first()
-    if bounds["low"] is None:
-        return rows
-    width, high = 4 * limit, bounds["low"]
-    while high < bounds["high"]:
-        high = min(bounds["low"] + width, bounds["high"])
-        if high == bounds["high"] or rows.where(F.col("event_id") <= high).count() >= limit:
-            break
-        width *= 8
-    return rows.where(F.col("event_id") <= high).orderBy("event_id").limit(limit)
+    return rows.orderBy("event_id").limit(limit)
 
 
 def apply_set_patches(members: DataFrame, patches: DataFrame, key: str, member: str = "member") -> DataFrame:

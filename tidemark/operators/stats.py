@@ -36,13 +36,18 @@ def dataset_stats(files: DataFrame) -> DataFrame:
 
 
 def _unpivoted(df: DataFrame) -> DataFrame:
-    columns = [(f.name, F.col(f"`{f.name}`").cast("string")) for f in df.schema if _is_plain(f.dataType)]
-    pairs = [F.struct(F.lit(n).alias("column"), v.alias("value")) for n, v in columns]
+    pairs = [F.struct(F.lit(f.name).alias("column"), _as_text(f).alias("value")) for f in df.schema]
     return df.select(F.inline(F.array(*pairs)))
 
 
-def _is_plain(kind: T.DataType) -> bool:
-    return not isinstance(kind, (T.StructType, T.ArrayType, T.MapType, T.BinaryType))
+def _as_text(field: T.StructField) -> Column:
+    """The text form of a column of any type; of bytes their base64, of maps their entries in order of the keys."""
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.BinaryType):
+        return F.base64(column)
+    if isinstance(field.dataType, T.MapType):
+        return F.array_sort(F.map_entries(column)).cast("string")
+    return column.cast("string")
 
 
 def column_stats(df: DataFrame) -> DataFrame:
@@ -64,16 +69,16 @@ def column_stats(df: DataFrame) -> DataFrame:
 
 def column_stats_approx(df: DataFrame, rsd: float = 0.05) -> DataFrame:
     """As :func:`column_stats`, but with sketched unique counts: one aggregation without a shuffle of values."""
-    names = [f.name for f in df.schema if _is_plain(f.dataType)]
     aggregates = []
-    for name in names:
-        text = F.col(f"`{name}`").cast("string")
+    for field in df.schema:
+        name, text = field.name, _as_text(field)
+        countable = text if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)) else F.col(f"`{name}`")
         aggregates.append(
             F.struct(
                 F.lit(name).alias("column"),
                 F.count(F.lit(1)).alias("row_count"),
                 F.count_if(text.isNull()).alias("null_count"),
-                F.approx_count_distinct(F.col(f"`{name}`"), rsd).alias("unique_count"),
+                F.approx_count_distinct(countable, rsd).alias("unique_count"),
                 F.avg(F.length(text)).alias("avg_length"),
                 F.max(F.length(text)).alias("max_length"),
             )
@@ -107,15 +112,6 @@ def sample_first(df: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
 def sample_random(df: DataFrame, n: int = SAMPLE_ROWS, seed: int = 7) -> DataFrame:
     """``n`` rows drawn at random: the same rows as ``ORDER BY rand(seed) LIMIT n``.
 
-    Sorting everything, or keeping ``n`` candidates in each of very many tasks, is avoided by first dropping
-    rows whose random number cannot be among the ``n`` smallest: the cut is set ten standard deviations above
-    the expected one and, should fewer than ``n`` rows still fall below it, it is not applied.
+    One scan: every task keeps its ``n`` smallest draws, nothing is sorted as a whole.
     """
-    drawn = df.withColumn("__draw", F.rand(seed))
-    total = df.count()
-    cut = (n + 10 * n**0.5 + 100) / total if total else 1.0
-    if cut < 1.0:
-        below = drawn.where(F.col("__draw") < cut)
-        if below.count() >= n:
-            drawn = below
-    return drawn.orderBy("__draw").limit(n).drop("__draw")
+    return df.withColumn("__draw", F.rand(seed)).orderBy("__draw").limit(n).drop("__draw")

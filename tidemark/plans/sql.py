@@ -26,6 +26,18 @@ _FROM = re.compile(rf"{_SKIP}|\b(?:from|join)\s+(?P<refs>{_REF}(?:{_ALIAS}\s*,\s
 _RANGE = re.compile(r"^(?P<start>[^:@]*):(?P<end>[^:@]*)(?:@(?P<branch>.*))?$")
 
 
+_PLAIN = re.compile(r"`([^`]+)`")
+# Words that may follow a table without being its alias.
+_AFTER_TABLE = """where group order having limit join inner left right full outer cross semi anti natural on using union
+intersect except minus window lateral tablesample cluster distribute sort pivot unpivot qualify offset select""".split()
+
+
+def _has_alias(rest: str) -> bool:
+    """Whether the text after a table begins with an alias for it."""
+    found = re.match(r"\s+(?:as\s+)?(`|[a-z_]\w*)", rest, re.I)
+    return bool(found) and found[1].lower() not in _AFTER_TABLE
+
+
 def references(query: str) -> list[str]:
     """The back-ticked dataset references after FROM and JOIN."""
     return [r for m in _FROM.finditer(query) if m["refs"] for r in re.findall(_REF, m["refs"], re.I)]
@@ -83,7 +95,10 @@ def run_sql(
             return match[0]
         for ref in re.findall(_REF, match["refs"], re.I):
             names.setdefault(ref, f"ref_{uuid.uuid4().hex}")
-        return re.sub(_REF, lambda r: names[r[0]], match[0])
+        # each view goes by the name it was asked for, so that columns can be qualified with it
+        text = query[match.start() :]
+        named = re.sub(_REF, lambda r: names[r[0]] + ("" if _has_alias(text[r.end() :]) else f" AS `{_PLAIN.findall(r[0])[-1]}`"), match[0])
+        return named
 
     with dialect(spark, sql_dialect):
         text = _FROM.sub(name_refs, query)

@@ -521,14 +521,20 @@ class Dataset:
         """Take files into the dataset where they lie: only the manifest is written, no data is copied."""
         with self.transaction_context(kind) as t:
             listed = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(location)
+            # logical paths keep the folders below the location: names repeat between partition folders
+            root = fsio.qualify(location).rstrip("/")
+            below = F.when(F.col("path") == root, F.substring_index("path", "/", -1)).otherwise(
+                F.col("path").substr(F.lit(len(root) + 2), F.length("path"))
+            )
             rows = listed.select(
-                F.concat(F.lit(f"{folder}/"), F.substring_index("path", "/", -1)).alias("path"),
+                F.concat(F.lit(f"{folder}/"), below).alias("path"),
                 F.col("path").alias("physical"),
                 "length",
                 F.col("modificationTime").alias("modified"),
             )
             self._stage(self._as_manifest(rows))
-        return self.put_schema(doc or readers.infer_schema(self.spark, [location], "parquet"), t["seq"])
+            self.put_schema(doc or readers.infer_schema(self.spark, [location], "parquet"), t["seq"])
+        return self
 
     def delete_files(self, paths: list[str] | DataFrame) -> Dataset:
         """Take files out of the view by a DELETE transaction; the paths may be a frame with a path column."""
@@ -579,15 +585,17 @@ class Dataset:
             target = f"{self.folder()}/{readers.TOP_FOLDER}={folder}"
             writers.write_version(df, target, fmt=fmt, partition_by=partition_by, options=options)
             listed = fsio.list_frame(self.spark, target)
-            name = F.lit("dataset.parquet") if local else F.col("path")
+            # one file in each partition folder
+            name = F.regexp_replace("path", "[^/]+$", "dataset.parquet") if local else F.col("path")
             rows = listed.withColumn("path", F.concat(F.lit(f"{folder}/"), name))
             self._stage(self._as_manifest(rows))
             if kind == "UPDATE" and replace_partitions:
                 self.stage_tombstones(self._overwritten(rows))
-        if doc is None:
-            stored = df.schema if not partition_by else _partitions_last(df, partition_by)
-            doc = docs.to_document(stored, fmt)
-        return self.put_schema(doc, t["seq"])
+            if doc is None:
+                stored = df.schema if not partition_by else _partitions_last(df, partition_by)
+                doc = docs.to_document(stored, fmt)
+            self.put_schema(doc, t["seq"])
+        return self
 
     def _overwritten(self, written: DataFrame) -> DataFrame:
         """Files of the view in the folders just written, other than the written ones."""
@@ -602,10 +610,13 @@ class Dataset:
         return self
 
     def get_schema(self, end: str | int | None = None) -> dict:
-        """Document in force at a transaction (default: now)."""
+        """Document in force at a transaction (default: now): the newest one of a committed transaction."""
         def read():
             rows = views.in_range(self._inherited(self.store.log("schemas", self.rid)), None, self._seq(end))
-            return rows.orderBy(F.col("seq").desc()).first()
+            unfinished = self.transactions().where(F.col("status") != "COMMITTED").select("seq")
+            if self._open is not None:  # its own writes are seen inside an open transaction
+                unfinished = unfinished.where(F.col("seq") != self._open["seq"])
+            return rows.join(unfinished, "seq", "left_anti").orderBy(F.col("seq").desc()).first()
 
         newest = self.store.remembered(
             ("schema", self.rid, self.branch, end), ["schemas", "branches", "transactions"], self.rid, read

@@ -7,6 +7,7 @@ import io
 import warnings
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,7 +45,21 @@ def read_files(
         options = {"inferSchema": "true", "header": "true", **(options or {})}
     if base_path:
         reader = reader.option("basePath", base_path)
-    return reader.format(fmt).options(**(options or {})).load(paths)
+    frame = reader.format(fmt).options(**(options or {})).load(paths)
+    return frame if doc is None else _with_nulls(frame, docs.null_values(doc))
+
+
+def _with_nulls(frame: DataFrame, nulls: dict[str | None, list[str]]) -> DataFrame:
+    """Further texts that stand for null: of all columns (under None) and of single ones. Spark's reader knows one."""
+    if not nulls:
+        return frame
+    changed = {}
+    for field in frame.schema:
+        texts = [*nulls.get(None, []), *nulls.get(field.name, [])]
+        if texts and isinstance(field.dataType, T.StringType):
+            column = F.col(f"`{field.name}`")
+            changed[field.name] = F.when(~column.isin(texts), column)
+    return frame.withColumns(changed)
 
 
 def partition_layout(uri: Column) -> tuple[Column, Column]:
@@ -142,12 +157,49 @@ def from_arrow(spark: SparkSession, table) -> DataFrame:
     return spark.createDataFrame(table)
 
 
-def infer_schema(spark: SparkSession, paths: list[str], fmt: str, *, probe_lines: int = 100) -> dict:
+SEPARATORS = ",;\t|"
+
+
+def _separator_counts(spark: SparkSession, paths: list[str]) -> tuple[list[dict], bool]:
+    """Per candidate separator the least, largest and total number in a record, over all records; whether quotes match up.
+
+    One aggregate over all lines. Where a quoted field holds a line break, records are found by a CSV reader instead,
+    file by file, as Spark reads such files too.
+    """
+    lines = spark.read.text(paths).where(F.trim("value") != "")
+    bare = F.regexp_replace("value", '"[^"]*"', "")
+    counts = [F.length(bare) - F.length(F.replace(bare, F.lit(s), F.lit(""))) for s in SEPARATORS]
+    columns = [f(c).alias(f"{n}{i}") for i, c in enumerate(counts) for n, f in (("low", F.min), ("high", F.max), ("total", F.sum))]
+    row = lines.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.contains(bare, F.lit('"'))).alias("odd"), *columns).first()
+    if not row["n"]:
+        return [], True
+    if not row["odd"]:
+        return [{"separator": s, **{n: row[f"{n}{i}"] for n in ("low", "high", "total")}} for i, s in enumerate(SEPARATORS)], True
+
+    def per_file(batches):
+        for batch in batches:
+            for content in batch["content"]:
+                text = content.decode("utf-8", "replace")
+                for s in SEPARATORS:
+                    widths = [len(r) - 1 for r in csv.reader(io.StringIO(text, newline=""), delimiter=s) if r]
+                    yield pd.DataFrame({"separator": [s], "low": [min(widths)], "high": [max(widths)], "total": [sum(widths)], "odd": [text.count('"') % 2]})
+
+    found = (
+        spark.read.format("binaryFile").load(paths).select("content")
+        .mapInPandas(per_file, "separator string, low long, high long, total long, odd long")
+        .groupBy("separator")
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("total").alias("total"), F.sum("odd").alias("odd"))
+        .collect()
+    )
+    return [r.asDict() for r in found], not any(r["odd"] for r in found)
+
+
+def infer_schema(spark: SparkSession, paths: list[str], fmt: str) -> dict:
     """Schema document of existing files.
 
-    Parquet states its schema. JSON and CSV are inferred by Spark over all records. For CSV the delimiter is
-    guessed from the first lines; a warning is given when they do not all have the same number of fields, and
-    ValueError is raised when nothing can be inferred.
+    Parquet states its schema. JSON and CSV are inferred by Spark over all records. For CSV the delimiter is the
+    most frequent one, those first that every record holds equally often; a warning is given when records differ in their
+    number of fields, and ValueError is raised when nothing can be inferred.
     """
     if fmt == "parquet":
         return docs.to_document(spark.read.parquet(*paths).drop(*INTERNAL_FOLDERS).schema)
@@ -155,13 +207,13 @@ def infer_schema(spark: SparkSession, paths: list[str], fmt: str, *, probe_lines
         return docs.to_document(spark.read.json(paths).schema, "json")
     if fmt != "csv":
         raise ValueError(f"cannot infer a schema for {fmt} files")
-    lines = [r[0] for r in spark.read.text(paths).limit(probe_lines).collect() if r[0].strip()]
-    if not lines:
+    counts, matched = _separator_counts(spark, paths)
+    if not counts:
         raise ValueError("cannot infer a schema: the files are empty")
-    separator = max(",;\t|", key=lambda s: (lines[0].count(s), -",;\t|".index(s)))
-    widths = {len(row) for row in csv.reader(io.StringIO("\n".join(lines)), delimiter=separator)}
-    if len(widths) > 1 or lines[0].count('"') % 2:
-        warnings.warn(f"ambiguous CSV: lines have {sorted(widths)} fields with separator {separator!r}", stacklevel=2)
+    best = max(counts, key=lambda c: (c["low"] == c["high"] > 0, c["total"], -SEPARATORS.index(c["separator"])))
+    separator = best["separator"]
+    if best["low"] < best["high"] or not matched:
+        warnings.warn(f"ambiguous CSV: records have {best['low'] + 1} to {best['high'] + 1} fields with separator {separator!r}", stacklevel=2)
     frame = spark.read.options(header="true", inferSchema="true", sep=separator).csv(paths)
     if not frame.columns:
         raise ValueError("cannot infer a schema: no columns found")

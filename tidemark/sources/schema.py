@@ -145,19 +145,34 @@ def reader_options(doc: dict) -> dict[str, str]:
     options = {}
     if params.get("parser") == MULTILINE_PARSER:
         options["multiline"] = "true"
-    if (params.get("skipLines") or 0) > 0:
+    if (params.get("skipLines") or 0) > 1:
+        raise ValueError("a Spark reader skips one line at most")
+    if params.get("skipLines"):
         options["header"] = "true"
+    if params.get("recordDelimiter"):
+        options["lineSep"] = params["recordDelimiter"]
     for key, option in (("fieldDelimiter", "sep"), ("quoteCharacter", "quote"), ("charsetName", "encoding")):
         if params.get(key):
             options[option] = params[key]
     if params.get("nullValues"):
         options["nullValue"] = params["nullValues"][0]
     formats = {f for per_column in (params.get("dateFormat") or {}).values() for f in per_column}
-    if len(formats) == 1:
+    if len(formats) > 1:
+        raise ValueError(f"a Spark reader takes one date format, not {sorted(formats)}")
+    if formats:
         options["dateFormat"] = formats.pop()
     return options
 
 
+def null_values(doc: dict) -> dict[str | None, list[str]]:
+    """Texts that stand for null: under None those of all columns, but for the first, which is a reader option."""
+    params = (doc.get("customMetadata") or {}).get("textParserParams") or {}
+    found: dict[str | None, list[str]] = {None: list(params.get("nullValues") or [])[1:]}
+    for column, texts in (params.get("nullValuesPerColumn") or {}).items():
+        found[column] = list(texts)
+    return {k: v for k, v in found.items() if v}
+
+
 def load_sidecar(text: str) -> tuple[T.StructType, dict[str, str]]:
     """(schema, options) of a schema file: a document, or a bare Spark schema whose CSV files have a header."""
     parsed = json.loads(text)
