@@ -92,7 +92,7 @@ def test_reader_options():
         return schema.reader_options({"customMetadata": {"textParserParams": params}})
 
     assert options(parser="CSV_PARSER", skipLines=0) == {}
-    assert options(parser="MULTILINE_CSV_PARSER", skipLines=2) == {"multiline": "true", "header": "true"}
+    assert options(parser="MULTILINE_CSV_PARSER", skipLines=1) == {"multiline": "true", "header": "true"}
     assert options(fieldDelimiter=";", nullValues=["NA"], dateFormat={"d": ["yyyy-MM-dd"]}) == {
         "sep": ";",
         "nullValue": "NA",

@@ -92,9 +92,17 @@ def test_all_null_texts_hold(spark):
     doc = docs.to_document(spark.createDataFrame([], "a string, b string").schema, "csv", text_parser=parser)
     got = {tuple(r) for r in readers.read_files(spark, [folder], doc).collect()} - {(None, None)}
     assert got == {(None, "-"), ("x", None), (None, "y")}
-    for bad in ({"skipLines": 3}, {"dateFormat": {"a": ["yyyy", "MM"]}}):
-        with pytest.raises(ValueError, match="Spark reader"):
-            docs.reader_options({"customMetadata": {"textParserParams": bad}})
+    with pytest.raises(ValueError, match="one date format"):
+        docs.reader_options({"customMetadata": {"textParserParams": {"dateFormat": {"a": ["yyyy", "MM"]}}}})
+
+
+def test_all_skipped_lines_are_skipped(spark):
+    folder = fresh_dir(spark, "skipped")
+    text = "\n".join(["# one", "# two", "a,b", *[f"{i},x{i}" for i in range(50)]])
+    spark.createDataFrame([(text,), (text,)], "value string").repartition(2).write.text(folder)
+    doc = docs.to_document(spark.createDataFrame([], "a int, b string").schema, "csv", text_parser={"skipLines": 3})
+    got = [tuple(r) for r in readers.read_files(spark, [folder], doc).collect()]
+    assert sorted(got) == sorted([(i, f"x{i}") for i in range(50)] * 2)
 
 
 def test_incremental_builds_read_each_row_once(spark, store):
@@ -205,3 +213,23 @@ def test_columns_qualified_by_the_dataset(spark, store):
     assert sorted(run("SELECT `/in`.id FROM `/in` JOIN `/other` ON `/in`.id = `/other`.id")) == [(1,), (2,)]
     assert run("SELECT a.id FROM `/in` a, `/other` AS b WHERE a.id = b.id AND b.id = 2") == [(2,)]
     assert json.dumps(sql.references("SELECT 1 FROM `/in`, `/other`"))
+
+
+def test_ranges_of_clustered_positions_stay_small(spark):
+    from tidemark.operators.asof import quantile_bounds, range_number
+
+    df = spark.range(20_000).selectExpr("IF(id = 0, 0, 1000000000 + id) AS at")
+    bounds = quantile_bounds(df, "at", 100)
+    sizes = [r["count"] for r in df.groupBy(range_number(F.col("at"), bounds).alias("r")).count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) < 2 * 200 + 10
+    rows = df.select("at", range_number(F.col("at"), bounds).alias("r")).collect()
+    assert all(r["r"] == sum(b <= r["at"] for b in bounds) for r in rows[::997])
+
+
+@pytest.mark.parametrize("size", [1000, 5000])
+def test_large_pages_are_limited_before_the_shuffle(spark, sf_dir, size):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    rows = orders.selectExpr("o_orderstatus AS rid", "o_orderpriority AS branch", "concat('p', o_orderkey) AS path")
+    page = catalog.file_page(rows, page_size=size)
+    assert "WindowGroupLimit" in page._jdf.queryExecution().executedPlan().toString()
+    assert page.count() == rows.count()

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import json
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import materialize
@@ -13,12 +15,31 @@ POSITIONS_PER_RANGE = 20_000
 MAX_RANGES = 65_536
 
 
+def quantile_bounds(df: DataFrame, column: str, ranges: int) -> list[int]:
+    """Lower bounds of all ranges but the first: approximate quantiles, each within a quarter of a range."""
+    shares = [i / ranges for i in range(1, ranges)]
+    return sorted({int(b) for b in df.approxQuantile(column, shares, 1 / (4 * ranges))}) if shares else []
+
+
+def range_number(position: Column, bounds: list[int]) -> Column:
+    """How many bounds are at or below the position, counted in two steps of about the root of their number each."""
+    if not bounds:
+        return F.lit(0)
+    step = max(1, int(len(bounds) ** 0.5))
+    groups = [bounds[i : i + step] for i in range(0, len(bounds), step)]
+    known = F.from_json(F.lit(json.dumps(groups)), "array<array<bigint>>")
+    firsts = F.from_json(F.lit(json.dumps([g[0] for g in groups])), "array<bigint>")
+    below = lambda array: F.size(F.filter(array, lambda b: b <= position))
+    group = F.greatest(below(firsts) - 1, F.lit(0))
+    return group * step + below(F.get(known, group))
+
+
 def latest_before(
     refs: DataFrame, facts: DataFrame, keys: list[str], *, at: str, seq: str = "seq", strict: bool = False, name: str = "found"
 ) -> DataFrame:
     """``refs`` with ``name`` = the highest ``seq`` of ``facts`` with equal keys and seq <= at (< if strict), or NULL.
 
-    The time line is cut into equal ranges. Within a (key, range) a running maximum over the distinct facts and
+    The time line is cut into ranges of about equally many positions, wherever these cluster. Within a (key, range) a running maximum over the distinct facts and
     positions answers most; a position ahead of the first fact of its range takes the last fact of the ranges
     before, carried over from one summary row per range. So neither a hot key's rows nor pairs of references and
     facts ever come together in one task. References meet their position's answer again in an equi-join.
@@ -28,11 +49,7 @@ def latest_before(
     # written once, as it is used three times below
     both, positions = materialize(marks.unionByName(asked, allowMissingColumns=True), "positions")
     ranges = max(1, min(MAX_RANGES, positions // POSITIONS_PER_RANGE))
-
-    low, high = both.agg(F.min("__fact")).scalar(), both.agg(F.max("__fact")).scalar()
-    width = F.coalesce(F.greatest(F.lit(1.0), (high - low + 1) / F.lit(ranges)), F.lit(1.0))
-    number = F.floor((F.col("__at") - F.coalesce(low, F.lit(0))) / width)
-    both = both.withColumn("__range", F.greatest(F.lit(-1), F.least(F.lit(ranges), number)))
+    both = both.withColumn("__range", range_number(F.col("__at"), quantile_bounds(both, "__at", ranges)))
 
     # at equal positions a fact goes ahead of a reference, or after it when the comparison is strict
     question = F.col("__asked").isNotNull().cast("int")

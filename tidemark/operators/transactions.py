@@ -16,12 +16,19 @@ from tidemark.operators.views import (
 )
 
 
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
 def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str = "rank") -> DataFrame:
     """First ``n`` rows of each key in ``order``, with their 1-based rank.
 
     The ``rank <= n`` filter makes Spark keep at most ``n`` rows per key in each map task before the shuffle
-    (window group limit), so a hot key never reaches one task as a whole.
+    (window group limit), so a hot key never reaches one task as a whole. Spark does so below a threshold of the
+    session only, which is raised for larger pages.
     """
+    conf = df.sparkSession.conf
+    if n >= int(conf.get(GROUP_LIMIT, "1000")):
+        conf.set(GROUP_LIMIT, str(n + 1))
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n)
 

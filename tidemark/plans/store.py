@@ -213,6 +213,31 @@ class Store:
         return dataset.rid, dataset.last_transaction()["txn"]
 
 
+class UnitOfWork:
+    """A block of writes to a dataset. Only a transaction that the block began ends with it."""
+
+    def __init__(self, dataset: Dataset, kind: str | None, abort_on_error: bool):
+        self.dataset, self.kind, self.abort_on_error = dataset, kind, abort_on_error
+        self.began = False
+
+    def __enter__(self) -> dict:
+        joined = self.dataset._open or self.dataset.open_transaction()
+        if joined is None:
+            self.began = True
+            self.dataset.start_transaction(self.kind)
+            return self.dataset.transaction
+        self.dataset._open = joined
+        if self.kind not in (None, joined["type"]):
+            raise errors.TransactionTypeMismatchError(self.kind, joined["type"])
+        return self.dataset.transaction
+
+    def __exit__(self, failure: type[BaseException] | None, *_: object) -> None:
+        if self.began and failure is None:
+            self.dataset.commit_transaction()
+        elif self.began and self.abort_on_error:
+            self.dataset.abort_transaction()
+
+
 class Dataset:
     """One dataset on one branch."""
 
@@ -422,23 +447,9 @@ class Dataset:
         self._open = None
         return self
 
-    @contextmanager
-    def transaction_context(self, kind: str | None = None, *, abort_on_error: bool = True) -> Iterator[dict]:
+    def transaction_context(self, kind: str | None = None, *, abort_on_error: bool = True) -> UnitOfWork:
         """Run a block in the open transaction, or in a new one that is committed after it or aborted on error."""
-        self._open = self._open or self.open_transaction()
-        created = self._open is None
-        if created:
-            self.start_transaction(kind)
-        elif kind is not None and self._open["type"] != kind:
-            raise errors.TransactionTypeMismatchError(kind, self._open["type"])
-        try:
-            yield self.transaction
-        except BaseException:
-            if created and abort_on_error:
-                self.abort_transaction()
-            raise
-        if created:
-            self.commit_transaction()
+        return UnitOfWork(self, kind, abort_on_error)
 
     # -- files of the open transaction -----------------------------------------------------------------------
 

@@ -45,10 +45,57 @@ def read_files(
         options = {"inferSchema": "true", "header": "true", **(options or {})}
     if base_path:
         reader = reader.option("basePath", base_path)
-    frame = reader.format(fmt).options(**(options or {})).load(paths)
+    if doc is not None and fmt == "csv" and docs.skipped_lines(doc) > 1:
+        frame = _after_lines(spark, paths, docs.skipped_lines(doc), doc, options, base_path)
+    else:
+        frame = reader.format(fmt).options(**(options or {})).load(paths)
     return frame if doc is None else _with_nulls(frame, docs.null_values(doc))
 
 
+def _after_lines(spark: SparkSession, paths: list[str], skip: int, doc: dict, options: dict, base_path: str | None) -> DataFrame:
+    """CSV records below the first ``skip`` lines of each file; Spark's own reader skips one at most.
+
+    The lines of a file's first split are numbered in order, so the least number per file tells which to leave out.
+    """
+    reader = spark.read.option("basePath", base_path) if base_path else spark.read
+    schema = docs.to_struct_type(doc)
+    if options.get("multiline") == "true":
+        whole = reader.format("binaryFile").load(paths)
+        folders = [n for n in whole.columns if n in schema.names and n not in ("path", "modificationTime", "length", "content")]
+        kept = _records(whole.select("content", *folders), skip, options.get("sep", ","), options.get("quote", '"'))
+    else:
+        reader = reader.option("lineSep", options["lineSep"]) if "lineSep" in options else reader
+        lines = reader.text(paths).withColumns(
+            {"__file": F.col("_metadata.file_path"), "__start": F.col("_metadata.file_block_start"), "__line": F.monotonically_increasing_id()}
+        )
+        folders = [n for n in lines.columns if n in schema.names and n != "value"]
+        heads = lines.where("__start = 0").groupBy("__file").agg((F.min("__line") + skip).alias("__first"))
+        kept = lines.join(heads, "__file").where((F.col("__start") > 0) | (F.col("__line") >= F.col("__first")))
+    kept = kept.where(F.trim("value") != "")
+    own = T.StructType([f for f in schema if f.name not in folders])
+    parse = {k: v for k, v in options.items() if k not in ("header", "lineSep", "encoding")}
+    parsed = kept.select(F.from_csv("value", own.simpleString(), parse).alias("r"), *[F.col(f"`{n}`").cast(schema[n].dataType) for n in folders])
+    return parsed.select(*[F.col(f"`{n}`") if n in folders else F.col("r").getField(n).alias(n) for n in schema.names])
+
+
+def _records(files: DataFrame, skip: int, delimiter: str, quote: str) -> DataFrame:
+    """The records of files with line breaks inside quotes, below their first ``skip`` lines; a file is read by one task,
+    as by Spark's own reader of such files."""
+    folders = [f for f in files.schema if f.name != "content"]
+
+    def run(batches):
+        for batch in batches:
+            for k, content in enumerate(batch["content"]):
+                lines = content.decode("utf-8", "replace").splitlines(keepends=True)[skip:]
+                parser, ends = csv.reader(lines, delimiter=delimiter, quotechar=quote), [0]
+                ends += [parser.line_num for _ in parser]
+                records = ["".join(lines[i:j]).rstrip("\r\n") for i, j in zip(ends, ends[1:], strict=False)]
+                yield pd.DataFrame({"value": records} | {f.name: batch[f.name].iat[k] for f in folders})
+
+    made = T.StructType([T.StructField("value", T.StringType()), *folders])
+    return files.mapInPandas(run, made)
+
+
 def _with_nulls(frame: DataFrame, nulls: dict[str | None, list[str]]) -> DataFrame:
     """Further texts that stand for null: of all columns (under None) and of single ones. Spark's reader knows one."""
     if not nulls:

@@ -145,9 +145,7 @@ def reader_options(doc: dict) -> dict[str, str]:
     options = {}
     if params.get("parser") == MULTILINE_PARSER:
         options["multiline"] = "true"
-    if (params.get("skipLines") or 0) > 1:
-        raise ValueError("a Spark reader skips one line at most")
-    if params.get("skipLines"):
+    if skipped_lines(doc) == 1:
         options["header"] = "true"
     if params.get("recordDelimiter"):
         options["lineSep"] = params["recordDelimiter"]
@@ -164,6 +162,12 @@ def reader_options(doc: dict) -> dict[str, str]:
     return options
 
 
+def skipped_lines(doc: dict) -> int:
+    """Lines at the start of each file that are no records."""
+    params = (doc.get("customMetadata") or {}).get("textParserParams") or {}
+    return max(0, params.get("skipLines") or 0)
+
+
 def null_values(doc: dict) -> dict[str | None, list[str]]:
     """Texts that stand for null: under None those of all columns, but for the first, which is a reader option."""
     params = (doc.get("customMetadata") or {}).get("textParserParams") or {}
