@@ -37,6 +37,26 @@ class _Numbers(dict):
         return number
 
 
+class _Column:
+    """An array that grows at its end, with room to spare."""
+
+    def __init__(self, values: np.ndarray) -> None:
+        self.room, self.size = values, len(values)
+
+    def extend(self, more: np.ndarray) -> None:
+        end = self.size + len(more)
+        if end > len(self.room):
+            larger = np.zeros((2 * end, *self.room.shape[1:]), self.room.dtype)
+            larger[: self.size] = self.room[: self.size]
+            self.room = larger
+        self.room[self.size : end] = more
+        self.size = end
+
+    @property
+    def values(self) -> np.ndarray:
+        return self.room[: self.size]
+
+
 class WordTokens:
     """Token ids of texts, word by word: the tokenizer never joins across ASCII white space and drops it.
 
@@ -56,59 +76,83 @@ class WordTokens:
 
     def _forget(self) -> None:
         self.known, self.parts, self.bytes = _Numbers(), _Numbers(), 0
-        self.halves = np.zeros((0, 2), np.int64)  # the two parts of each word
-        self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)  # the ids of each part
-        self.hits = np.zeros(0, np.int64)
+        self.halves = _Column(np.zeros((0, 2), np.int64))  # the two parts of each word
+        # all ids, and of each part where its own begin and how many they are
+        self.flat, self.first, self.count = _Column(np.zeros(0, np.uint32)), _Column(np.zeros(0, np.int64)), _Column(np.zeros(0, np.int64))
+        self.hits = _Column(np.zeros(0, np.int64))
 
     def _trim(self) -> None:
-        often = self.hits > 2
+        often = self.hits.values > 2
         words = [w for w, keep in zip(self.known, often.tolist(), strict=True) if keep]
         if len(words) > self.cached // 2 or sum(map(len, words)) > 8 * self.cached:
             return self._forget()
-        old, lengths, parts = self.halves[often], np.diff(self.starts), list(self.parts)
+        old, parts = self.halves.values[often], list(self.parts)
         used = np.unique(old)
-        kept = np.zeros(len(parts), bool)
-        kept[used] = True
-        self.flat, self.starts = self.flat[np.repeat(kept, lengths)], np.r_[0, np.cumsum(lengths[used])]
+        count = self.count.values[used]
+        self.flat = _Column(self._gather(used))
+        self.first, self.count = _Column(np.cumsum(count) - count), _Column(count)
         self.known, self.parts = _Numbers(), _Numbers()
         self.known.update(zip(words, range(len(words)), strict=True))
         self.parts.update((parts[k], n) for n, k in enumerate(used.tolist()))
-        self.halves, self.hits = np.searchsorted(used, old), np.ones(len(words), np.int64)
+        self.halves, self.hits = _Column(np.searchsorted(used, old)), _Column(np.ones(len(words), np.int64))
         self.bytes = sum(map(len, words))
 
     def _learn(self, words: list[bytes]) -> None:
-        number, halves = self.parts.__getitem__, []
+        number, cores, marks = self.parts.__getitem__, [], []
         for word in words:
             core = word.rstrip(MARKS)
             if len(core) < len(word) and core[-1:] not in _ASCII_LETTERS and not core[-4:].decode("utf-8", "ignore")[-1:].isalpha():
                 core = word
-            halves.append((number(core.lower()), number(word[len(core) :])))
-        self.halves = np.r_[self.halves, np.array(halves, np.int64)]
-        self.hits = np.r_[self.hits, np.zeros(len(words), np.int64)]
+            cores.append(number(core.lower()))
+            marks.append(number(word[len(core) :]))
+        self.halves.extend(np.array([cores, marks], np.int64).T)
+        self.hits.extend(np.zeros(len(words), np.int64))
         self.bytes += sum(map(len, words))
         new, self.parts.new = [p.decode("utf-8", "replace") for p in self.parts.new], []
         if not new:
             return
-        # letters only is one word to the tokenizer, so many can be encoded as one text and told apart again
-        plain = [k for k, p in enumerate(new) if p.isalpha()]
-        other = [k for k, p in enumerate(new) if not p.isalpha()]
-        ids: list[list[int]] = [[]] * len(new)
-        joined = [plain[k : k + JOINED] for k in range(0, len(plain), JOINED)]
-        for group, tokens in zip(joined, self._ids([" ".join([new[k] for k in g]) for g in joined]), strict=True):
-            cuts = (np.flatnonzero(self.ends_word[tokens]) + 1).tolist()
-            if len(cuts) == len(group):
-                for k, i, j in zip(group, [0, *cuts], cuts, strict=False):
-                    ids[k] = tokens[i:j]
-            else:
-                other += group
-        for k, tokens in zip(other, self._ids([new[k] for k in other]), strict=True):
-            ids[k] = tokens
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.starts = np.r_[self.starts, self.starts[-1] + np.cumsum(lengths)]
-        self.flat = np.r_[self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))]
-
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        # letters only is one word to the tokenizer, so many can be encoded as one text and told apart by the ends of words
+        letters = np.fromiter((p.isalpha() for p in new), bool, len(new))
+        plain, other = np.flatnonzero(letters), np.flatnonzero(~letters)
+        first, count = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        if len(plain):
+            texts = [new[k] for k in plain.tolist()]
+            ids, sizes = self._ids([" ".join(texts[k : k + JOINED]) for k in range(0, len(texts), JOINED)])
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            wanted = np.minimum(JOINED, len(texts) - np.arange(0, len(texts), JOINED))
+            found = np.diff(np.searchsorted(ends, np.r_[0, np.cumsum(sizes)], "right"))
+            good = np.repeat(found == wanted, wanted)  # of each word: its text has an end for each word
+            ends = ends[np.repeat(found == wanted, found)]
+            sure = plain[good]
+            begins = np.r_[0, ends[:-1]] if good.all() else self._begins(ends, sizes, found == wanted, wanted)
+            first[sure], count[sure] = self.flat.size + begins, ends - begins
+            self.flat.extend(ids)
+            other = np.r_[other, plain[~good]]
+        if len(other):
+            ids, sizes = self._ids([new[k] for k in other.tolist()])
+            first[other], count[other] = self.flat.size + np.cumsum(sizes) - sizes, sizes
+            self.flat.extend(ids)
+        self.first.extend(first)
+        self.count.extend(count)
+
+    @staticmethod
+    def _begins(ends: np.ndarray, sizes: np.ndarray, good: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """Where the words of the good texts begin: at the end of the word before, or at the start of their text."""
+        begins = np.r_[0, ends[:-1]]
+        heads = np.cumsum(wanted[good]) - wanted[good]
+        begins[heads] = (np.cumsum(sizes) - sizes)[good]
+        return begins
+
+    def _gather(self, parts: np.ndarray) -> np.ndarray:
+        first, count = self.first.values[parts], self.count.values[parts]
+        ends = np.cumsum(count)
+        return self.flat.values[np.repeat(first - (ends - count), count) + np.arange(int(ends[-1]) if len(ends) else 0)]
+
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and how many each has."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self.known) > self.cached or self.bytes > 16 * self.cached:
@@ -119,14 +163,11 @@ class WordTokens:
         if self.known.new:
             new, self.known.new = self.known.new, []
             self._learn(new)
-        out = []
-        for at in found:
-            parts = self.halves[at].ravel()
-            first = self.starts[parts]
-            lengths = self.starts[parts + 1] - first
-            ends = np.cumsum(lengths)
-            out.append(self.flat[np.repeat(first - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)])
-        self.hits += np.bincount(np.concatenate(found), minlength=len(self.hits)) if found else 0
+        halves = self.halves.values
+        out = [self._gather(halves[at].ravel()) for at in found]
+        if found:
+            hits = np.bincount(np.concatenate(found))
+            self.hits.values[: len(hits)] += hits
         return out
 
 
