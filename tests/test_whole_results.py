@@ -233,3 +233,15 @@ def test_large_pages_are_limited_before_the_shuffle(spark, sf_dir, size):
     page = catalog.file_page(rows, page_size=size)
     assert "WindowGroupLimit" in page._jdf.queryExecution().executedPlan().toString()
     assert page.count() == rows.count()
+
+
+def test_schema_rows_tell_nested_types_apart(spark):
+    kinds = ["a struct<x: int, y: map<string, array<bigint>>>", "a struct<x: bigint, y: map<string, array<bigint>>>"]
+    texts = [json.dumps(docs.to_document(spark.createDataFrame([], k).schema)) for k in kinds]
+    rows = spark.createDataFrame([("d", "b", i, t) for i, t in enumerate([*texts, None, "no document"])], "rid string, branch string, seq long, doc string")
+    fields = docs.flatten_documents(rows, "doc", ["rid", "branch", "seq"])
+    assert {(r.seq, r.name, r.type) for r in fields.collect()} == {
+        (0, "a", "STRUCT<x:INTEGER,y:MAP<STRING,ARRAY<LONG>>>"),
+        (1, "a", "STRUCT<x:LONG,y:MAP<STRING,ARRAY<LONG>>>"),
+    }
+    assert [(r.seq, r.change) for r in docs.schema_changes(fields).collect()] == [(1, "CHANGED")]

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -196,29 +197,42 @@ def infer_format(reader_class: Column, first_file: Column) -> Column:
     )
 
 
-# Spark schema of a stored document, as far as top-level fields and one array level go.
-DOCUMENT_FIELDS = (
-    "fieldSchemaList array<struct<name string, type string, nullable boolean, precision int, scale int, "
-    "arraySubtype struct<type string>>>, dataFrameReaderClass string"
-)
+def spelled_type(field: dict) -> str:
+    """The type of a document's field in one text, e.g. DECIMAL(17,2), ARRAY<STRING> or STRUCT<a:MAP<STRING,LONG>>."""
+    kind = field["type"]
+    match kind.upper():
+        case "DECIMAL":
+            return f"DECIMAL({field['precision']},{field['scale']})"
+        case "ARRAY":
+            return f"ARRAY<{spelled_type(field['arraySubtype'])}>"
+        case "MAP":
+            return f"MAP<{spelled_type(field['mapKeyType'])},{spelled_type(field['mapValueType'])}>"
+        case "STRUCT":
+            return f"STRUCT<{','.join(f'{sub["name"]}:{spelled_type(sub)}' for sub in field['subSchemas'])}>"
+    return kind
+
+
+def _document_fields(text: str | None) -> list[dict] | None:
+    try:
+        fields = json.loads(text)["fieldSchemaList"]
+    except (TypeError, ValueError, KeyError):
+        return None  # no document: no fields
+    return [{"name": f["name"], "type": spelled_type(f), "nullable": _nullable(f)} for f in fields]
 
 
 def flatten_documents(docs: DataFrame, doc: str, keys: list[str]) -> DataFrame:
     """One row per top-level field of each stored JSON document: keys, position, name, type, nullable.
 
-    ``type`` is spelled out for decimals and arrays, e.g. DECIMAL(17,2) or ARRAY<STRING>.
+    ``type`` is spelled out to any depth, see :func:`spelled_type`.
     """
-    fields = F.from_json(F.col(doc), DOCUMENT_FIELDS).getField("fieldSchemaList")
+
+    @F.pandas_udf("array<struct<name: string, type: string, nullable: boolean>>")
+    def fields_of(texts: pd.Series) -> pd.Series:
+        return texts.map(_document_fields, na_action=None)
+
     f = F.col("field")
-    spelled = (
-        F.when(
-            f["type"] == "DECIMAL", F.concat(F.lit("DECIMAL("), f["precision"].cast("string"), F.lit(","), f["scale"].cast("string"), F.lit(")"))
-        )
-        .when(f["type"] == "ARRAY", F.concat(F.lit("ARRAY<"), f["arraySubtype"]["type"], F.lit(">")))
-        .otherwise(f["type"])
-    )
-    return docs.select(*keys, F.posexplode(fields).alias("position", "field")).select(
-        *keys, "position", f["name"].alias("name"), spelled.alias("type"), F.coalesce(f["nullable"], F.lit(True)).alias("nullable")
+    return docs.select(*keys, F.posexplode(fields_of(F.col(doc))).alias("position", "field")).select(
+        *keys, "position", f["name"].alias("name"), f["type"].alias("type"), f["nullable"].alias("nullable")
     )
 
 
