@@ -16,6 +16,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 # A side of fixed-width columns is broadcast up to this many rows: under 16 MB at 64 bytes a row.
 BROADCAST_ROWS = 200_000
 
+SPLITS = "spark.sql.files.minPartitionNum"
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -42,6 +44,18 @@ def bounded_side(df: DataFrame, label: str) -> DataFrame:
     return F.broadcast(table) if rows <= BROADCAST_ROWS else table.hint("merge")
 
 
+def placed(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` with their place (partition and position) as a number in column ``name``.
+
+    Rows read from files are cut into as many partitions as the cores of the moment suggest, so a scan planned after an
+    executor was lost would give other places. The number is therefore settled in the session the first time.
+    """
+    spark = rows.sparkSession
+    if spark.conf.get(SPLITS, None) is None:
+        spark.conf.set(SPLITS, str(spark.sparkContext.defaultParallelism))
+    return rows.withColumn(name, F.monotonically_increasing_id())
+
+
 def batch_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a binary or string Arrow column without a copy, and the offset of each row (one more than rows).
 

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import pickle
+import random
 import shutil
 import tempfile
 from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 from pathlib import Path
 
 import pyarrow as pa
@@ -14,11 +17,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.base import documents, stored, utf8
+from tidemark.llm.base import documents, placed, stored, utf8
 
 FIT_BYTES = 48 << 20  # of distinct content in one table
 FAN_OUT_BITS = 4
 HASH_BITS = 128
+LOCAL_ROWS = 1 << 19  # of a task that are grouped together before the shuffle
 
 
 class ContentTable:
@@ -54,6 +58,11 @@ class ContentTable:
             self.slots[at] = number
 
 
+def _spill_root() -> str | None:
+    """One of the folders in which this executor keeps its shuffle and spill files; None outside of Spark."""
+    return random.choice([d for d in os.environ.get("SPARK_LOCAL_DIRS", "").split(",") if d] or [None])
+
+
 def content_hash(content: bytes) -> int:
     return xxhash.xxh3_128_intdigest(content)
 
@@ -63,9 +72,13 @@ def classes(records: Iterable[tuple[bytes, tuple]], fit_bytes: int = FIT_BYTES,
 
     Records are kept in memory up to ``fit_bytes``; beyond that all go to spill files by the first bits of their hash,
     and each file is treated likewise by the next bits. A file whose hashes are used up is read straight into the
-    table, which holds each content once. Files lie in a folder of this task and are removed when it ends.
+    table, which holds each content once. Files lie beside Spark's own spill files, in a folder that no other task reads
+    and that is removed when this one ends; a task that runs again, wherever that is, makes its own.
     """
-    folder = tempfile.mkdtemp(prefix="grace-")
+    root = _spill_root()
+    if root is not None:
+        Path(root).mkdir(parents=True, exist_ok=True)
+    folder = tempfile.mkdtemp(prefix="grace-", dir=root)
     try:
         yield from _bucket(((hash_of(c), c, row) for c, row in records), 0, fit_bytes, Path(folder))
     finally:
@@ -144,15 +157,20 @@ def _rank(row: tuple) -> tuple:
     return row[0] is not None, row[0] or 0, row[1]
 
 
-def _local(fit_bytes: int):
+def _local(fit_bytes: int, most_rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def records() -> Iterator[tuple[bytes, tuple]]:
             for b in batches:
                 for rid, doc_id, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
                     yield content.as_py(), (doc_id, rid)
 
+        def parts() -> Iterator[tuple[bytes, list[tuple]]]:
+            left = records()
+            for first in left:  # many empty or equal texts are few bytes: rows are bounded too
+                yield from classes(chain([first], islice(left, most_rows - 1)), fit_bytes)
+
         def out() -> Iterator[tuple]:
-            for content, rows in classes(records(), fit_bytes):
+            for content, rows in parts():
                 top, sha = max(rows, key=_rank), hashlib.sha256(content).hexdigest()
                 leader = rows[0][1]
                 for doc_id, rid in rows:
@@ -183,16 +201,17 @@ def _across(fit_bytes: int):
     return run
 
 
-def groups(rows: DataFrame, text: str = "text", key: str = "doc_id", fit_bytes: int = FIT_BYTES) -> DataFrame:
+def groups(rows: DataFrame, text: str = "text", key: str = "doc_id", fit_bytes: int = FIT_BYTES, local_rows: int = LOCAL_ROWS) -> DataFrame:
     """Per row: rid (its place), doc_id, keep_id, group_size, kept, text_sha256. Of rows with equal text the one with the largest id stays.
 
-    Each task first groups its own rows, so a text held by a third of all rows leaves it once; only these leaders, with
-    their counts, are shuffled by hash and grouped again, and the rows find their group through their leader.
+    Each task first groups its own rows, ``local_rows`` at a time, so a text held by a third of all rows leaves it once
+    for each such part; only these leaders, with their counts, are shuffled by hash and grouped again, and the rows find their group through their leader.
 
     Null texts count as empty, and all empty texts are equal. Of rows that share text and id exactly one stays; a
     null id stays only where no other is there. Texts of any length are compared whole. An empty table gives no rows.
     """
-    local = stored(rows.select(F.monotonically_increasing_id().alias("rid"), F.col(key).cast("long").alias("doc_id"), utf8(text).alias("content")).mapInArrow(_local(fit_bytes), "rid long, doc_id long, leader long, content binary, sha256 string, copies long, top_id long, top_rid long"), "local-classes")
+    own = placed(rows, "_exact_rid").select(F.col("_exact_rid").alias("rid"), F.col(key).cast("long").alias("doc_id"), utf8(text).alias("content"))
+    local = stored(own.mapInArrow(_local(fit_bytes, local_rows), "rid long, doc_id long, leader long, content binary, sha256 string, copies long, top_id long, top_rid long"), "local-classes")
     leaders = local.filter("copies IS NOT NULL").select("content", "leader", "copies", "top_id", "top_rid")
     final = leaders.repartition(F.xxhash64("content")).mapInArrow(_across(fit_bytes), "leader long, keep_id long, keep_rid long, group_size long")
     return local.select("rid", "doc_id", "leader", "sha256").join(final, "leader").select(
@@ -203,10 +222,10 @@ def groups(rows: DataFrame, text: str = "text", key: str = "doc_id", fit_bytes:
 def distinct_rows(rows: DataFrame, text: str = "text", key: str = "doc_id", fit_bytes: int = FIT_BYTES) -> DataFrame:
     """The rows that stay, with all their columns: one for each text. Cases as in ``groups``.
 
-    Rows are found again by their place, so they must come in the same partitions and order each time, as from files.
+    Rows are found again by their place, so they must come from files, which give the same places each time.
     """
     kept = groups(rows, text, key, fit_bytes).filter("kept").select(F.col("rid").alias("_exact_rid"))
-    return rows.withColumn("_exact_rid", F.monotonically_increasing_id()).join(kept.hint("merge"), "_exact_rid", "left_semi").drop("_exact_rid")
+    return placed(rows, "_exact_rid").join(kept.hint("merge"), "_exact_rid", "left_semi").drop("_exact_rid")
 
 
 def op7_exact_groups(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.base import WORD, documents, stored, unit_hash, with_prefix
+from tidemark.llm.base import WORD, documents, placed, stored, unit_hash, with_prefix
 
 SHARDS = 16
 BLOCK = 64  # words
@@ -176,15 +176,15 @@ def mixed_rows(rows: DataFrame, text: str = "text", length: str = "n_chars") ->
 
     A row whose words are all taken keeps its whole text; ``length``, if there is such a column, becomes the length of the new text in
     characters. Rows without words are in no mixture. Other cases as in ``mix``. Rows are found again by their place, so they must
-    come in the same partitions and order each time, as from files.
+    come from files, which give the same places each time.
     """
-    placed = rows.withColumn("_mix_rid", F.monotonically_increasing_id())
-    sized = stored(sizes_of(placed.drop("size"), text).select(F.col("_mix_rid").alias("rid"), "doc_id", "source", "size"), "sizes")
+    marked = placed(rows, "_mix_rid")
+    sized = stored(sizes_of(marked.drop("size"), text).select(F.col("_mix_rid").alias("rid"), "doc_id", "source", "size"), "sizes")
     _, pieces = mix(sized)
     per_row = pieces.groupBy("rid", "epoch").agg(F.collect_list(F.struct("first", "length")).alias("spans")).select(F.col("rid").alias("_mix_rid"), "spans")
     others = [c for c in rows.columns if c != text]
     rest = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(others)])
-    joined = placed.join(per_row.hint("merge"), "_mix_rid").select(rest.alias("rest"), F.col(text).alias("text"), "spans")
+    joined = marked.join(per_row.hint("merge"), "_mix_rid").select(rest.alias("rest"), F.col(text).alias("text"), "spans")
     made = joined.mapInArrow(_taken, f"rest {joined.schema['rest'].dataType.simpleString()}, text string")
     new = {c: F.col(f"rest.c{i}") for i, c in enumerate(others)} | {text: F.col("text")}
     if length in new:

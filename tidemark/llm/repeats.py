@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.base import batch_bytes, chunks, documents, stored, utf8
+from tidemark.llm.base import batch_bytes, chunks, documents, placed, stored, utf8
 
 LENGTH = 200  # bytes of a passage
 GRAM_STEPS = (1, 2, 4, 8, 16, 32)
@@ -298,8 +298,8 @@ def _cut(length: int):
 
 
 def numbered(rows: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(rid, doc_id, content): rows must come in the same partitions and order each time, as they do from files."""
-    return rows.select(F.monotonically_increasing_id().alias("rid"), F.col(key).cast("long").alias("doc_id"), utf8(text).alias("content"))
+    """(rid, doc_id, content): rows must come from files, which give the same places each time."""
+    return placed(rows, "_repeat_rid").select(F.col("_repeat_rid").alias("rid"), F.col(key).cast("long").alias("doc_id"), utf8(text).alias("content"))
 
 
 def repeated_passages(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.base import bounded_side, documents, stored, utf8
+from tidemark.llm.base import bounded_side, documents, placed, stored, utf8
 from tidemark.llm.components import components
 
 SHINGLE = 3
@@ -203,7 +203,7 @@ def near_groups(rows: DataFrame, text: str = "text", key: str = "doc_id", shingl
     Null and empty texts have fingerprint 0 and are linked like any other. Null keys count for no least key; a
     group of null keys only has a null component_id. Repeated rows stay rows of their own. No rows: no rows.
     """
-    numbered = rows.select(F.monotonically_increasing_id().alias("rid"), F.col(key).cast("long").alias("doc_id"), utf8(text).alias("content"))
+    numbered = placed(rows, "_near_rid").select(F.col("_near_rid").alias("rid"), F.col(key).cast("long").alias("doc_id"), utf8(text).alias("content"))
     numbered = numbered.select(F.struct("rid", "doc_id").alias("id"), "content")
     prints = stored(numbered.mapInArrow(_fingerprints(shingle), "rid struct<rid: long, doc_id: long>, fp long").select("rid.*", "fp"), "fingerprints")
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
@@ -216,12 +216,12 @@ def near_groups(rows: DataFrame, text: str = "text", key: str = "doc_id", shingl
 def distinct_rows(rows: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, most_bits: int = MOST_BITS) -> DataFrame:
     """One row of each group, with all its columns: the one with the least key, null keys last. Cases as in ``near_groups``.
 
-    Rows are found again by their place, so they must come in the same partitions and order each time, as from files.
+    Rows are found again by their place, so they must come from files, which give the same places each time.
     """
     found = near_groups(rows, text, key, shingle, most_bits)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "rid"))
     kept = found.groupBy("label").agg(first.alias("first")).select(F.col("first.rid").alias("_near_rid"))
-    return rows.withColumn("_near_rid", F.monotonically_increasing_id()).join(kept.hint("merge"), "_near_rid", "left_semi").drop("_near_rid")
+    return placed(rows, "_near_rid").join(kept.hint("merge"), "_near_rid", "left_semi").drop("_near_rid")
 
 
 def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
