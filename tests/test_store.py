@@ -320,3 +320,19 @@ def test_provenance_is_json(spark, store):
     ds = store.create_dataset("/prov")
     ds.start_transaction("SNAPSHOT").commit_transaction(provenance={"provenanceRecords": []})
     assert json.loads(ds.last_transaction()["provenance"]) == {"provenanceRecords": []}
+
+
+def test_a_commit_adds_few_log_files(spark, store):
+    ds = store.create_dataset("/few").save_dataframe(frame(spark, "a"))
+    folder = f"{store.log_path('transactions')}/rid={ds.rid}"
+    before, _ = fsio.fingerprint(folder)
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("log", "rows from the driver")
+    with ds.transaction_context("APPEND"):
+        ds._log_transaction("OPEN")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert fsio.fingerprint(folder)[0] == before + 3  # opened, once more, committed
+    assert all(not name.startswith("_") for name in (p.split("/")[-1] for p in store.log("transactions", ds.rid).inputFiles()))
+    row = ds.last_transaction()
+    assert row["type"] == "APPEND" and row["status"] == "COMMITTED" and row["at"].year >= 2024
+    assert len(jobs.getJobIdsForGroup("log")) < 10

@@ -12,6 +12,7 @@ rows of one dataset, and the folders (or, where a folder is partly replaced, the
 
 from __future__ import annotations
 
+import io
 import json
 import re
 import time
@@ -23,6 +24,7 @@ from datetime import UTC, datetime
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,11 +64,15 @@ BY_DATASET = {"branches", "transactions", "files", "schemas"}
 _RID = re.compile(r"^ri\.[^.]+\.[^.]*\.dataset\.")
 
 
-def local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """Frame of a few driver rows, planned as a local table (one task, no Python worker)."""
+def local_table(rows: list[tuple], schema: str) -> pa.Table:
     fields = T.StructType.fromDDL(schema)
     arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in fields])
-    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(fields.names, r, strict=True)) for r in rows], arrow), fields)
+    return pa.Table.from_pylist([dict(zip(fields.names, r, strict=True)) for r in rows], arrow)
+
+
+def local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Frame of a few driver rows, planned as a local table (one task, no Python worker)."""
+    return spark.createDataFrame(local_table(rows, schema), T.StructType.fromDDL(schema))
 
 
 class Store:
@@ -97,14 +103,19 @@ class Store:
         return frame if rid is None else frame.where(F.col("rid") == rid)
 
     def append(self, table: str, rows: list[tuple] | DataFrame, rid: str | None = None) -> None:
-        """Add rows (of one dataset, where the table is kept by dataset)."""
-        frame, path = rows, self.log_path(table)
-        if not isinstance(rows, DataFrame):
-            frame = local_frame(self.spark, rows, TABLES[table])
-            rid = rows[0][0]
-        if table in BY_DATASET:
-            frame, path = frame.drop("rid"), f"{path}/rid={rid}"
-        frame.write.mode("append").parquet(path)
+        """Add rows (of one dataset, where the table is kept by dataset).
+
+        A frame is written by Spark; the row or two that a step of a transaction logs are one file from the driver.
+        """
+        by_dataset = table in BY_DATASET
+        if isinstance(rows, DataFrame):
+            path = self.log_path(table) + (f"/rid={rid}" if by_dataset else "")
+            (rows.drop("rid") if by_dataset else rows).write.mode("append").parquet(path)
+            return
+        path = self.log_path(table) + (f"/rid={rows[0][0]}" if by_dataset else "")
+        logged, out = local_table(rows, TABLES[table]), io.BytesIO()
+        pq.write_table(logged.drop_columns("rid") if by_dataset else logged, out)
+        fsio.publish(f"{path}/{self.tick():020d}-{uuid.uuid4().hex}.parquet", out.getvalue())
 
     def remembered(self, key: tuple, tables: list[str], rid: str | None, compute: Callable):
         """``compute()``, or its last result while no file was added to the given logs since.

@@ -109,6 +109,16 @@ def write_bytes(uri: str, data: bytes) -> None:
         out.write(data)
 
 
+def publish(uri: str, data: bytes) -> None:
+    """Write a file that readers of its folder see whole or not at all: under a hidden name first, then renamed."""
+    folder, _, name = uri.rpartition("/")
+    hidden = f"{folder}/_{name}"
+    write_bytes(hidden, data)
+    fs, source = hadoop(hidden)
+    if not fs.rename(source, hadoop(uri)[1]):
+        raise OSError(f"{hidden} could not be renamed to {name}")
+
+
 def read_bytes(uri: str) -> bytes:
     with open_file(uri) as source:
         return source.read()
