@@ -87,3 +87,34 @@ def test_odd_rows(spark):
     assert sketches.version_sketches(no_documents(spark)).count() == 0
     one = sketches.version_sketches(df.filter("doc_id = 7")).collect()
     assert len(one) == 1 and one[0].near_next == 1.0
+
+
+def test_every_byte_of_a_long_word_counts_with_its_place():
+    prefix = "https://example.org/a/rather/long/path/to/some/page/of/the/archive/list?id="
+    assert len(prefix) > 70
+    assert len({tuple(keys_of(prefix + tail)) for tail in ("13", "22", "31")}) == 3
+    line = "".join(chr(0x4E00 + 37 * i % 5000) for i in range(60))
+    moved = line[:24] + line[24:28][::-1] + line[28:]
+    assert sorted(line) == sorted(moved) and set(keys_of(line)) != set(keys_of(moved))
+    run = "a" * 300  # nowhere cut, or everywhere
+    assert len({tuple(sorted(keys_of(run[:i] + "b" + run[i + 1 :]))) for i in range(60, 300, 40)}) == 6
+
+
+def test_texts_without_white_space_are_cut_where_their_bytes_say():
+    rng = random.Random(5)
+    line = "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(4000))
+    changed = line[:2000] + "x" + line[2001:]
+    assert 60 < len(keys_of(line)) < 400
+    assert 0.9 < plain_likeness(line, changed) < 1
+    assert plain_likeness(line, "y" + line[7:]) > 0.9
+    assert plain_likeness(line, line[:2000] + " " + line[2000:]) < 1
+
+
+def test_a_piece_of_a_word_is_no_word():
+    rng = random.Random(6)
+    word = words(rng, 60).replace(" ", "")
+    data = np.frombuffer(word.encode() + b"\n", np.uint8)
+    cuts = [0, *sketches._inner_starts(data, data == 10, np.array([0])).tolist(), len(word)]
+    assert len(cuts) > 10
+    apart = " ".join(word[i:j] for i, j in zip(cuts, cuts[1:], strict=False))
+    assert set(keys_of(word)).isdisjoint(keys_of(apart))

@@ -18,12 +18,14 @@ CELLS = 15  # of the written fingerprint
 HASHES = 3
 GROWTH = 4
 CUT = 8  # a paragraph of running text has about so many words
+LONG_WORD, PIECE, BEFORE = 64, 4, 8  # a word of more bytes is cut into pieces of about so many characters, by the bytes before a cut
 CHUNK_BYTES = 1 << 20
 RANGE_BYTES = 8 << 20
 MOST_RANGES = 100_000  # beyond it ranges grow; they are streamed, and their bounds are broadcast
 
 _SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
-_POWERS = np.cumprod(np.full(64, 0x100000001B3, np.uint64))
+_PRIME = np.uint64(0x100000001B3)
+_POWERS = np.cumprod(np.full(LONG_WORD, _PRIME))
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
 
@@ -34,11 +36,27 @@ def _mix(x: np.ndarray, seed: np.uint64) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _inner_starts(data: np.ndarray, blank: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Where words of more than ``LONG_WORD`` bytes are cut: at characters chosen by a hash of the ``BEFORE`` bytes before."""
+    long = first[np.diff(np.r_[first, len(data)]) > LONG_WORD]
+    blanks = np.flatnonzero(blank) if len(long) else long
+    size = blanks[np.searchsorted(blanks, long)] - long
+    long, size = long[size > LONG_WORD], size[size > LONG_WORD] - BEFORE
+    if not len(long):
+        return long
+    at = np.repeat(long + BEFORE - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    at = at[(data[at] & 0xC0) != 0x80]
+    before = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, BEFORE)[at - BEFORE]).view("<u8")[:, 0]
+    return at[_mix(before, _SEEDS[1]) % np.uint64(PIECE) == 0]
+
+
 def paragraph_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit keys of the paragraphs of all texts, and the text of each key.
 
     A paragraph ends at a newline, and after each word whose hash is a multiple of ``CUT``, so that long lines are cut
-    at places which an edit elsewhere doesn't move. A paragraph that a text repeats has another key each time.
+    at places which an edit elsewhere doesn't move. Words of more than ``LONG_WORD`` bytes, such as lines without white
+    space, are cut into pieces, which count as words but differ from words of their own. Each byte counts with its place.
+    A paragraph that a text repeats has another key each time.
     """
     lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
     data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
@@ -46,12 +64,20 @@ def paragraph_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     first = np.flatnonzero(~blank & np.r_[True, blank[:-1]])
     if not len(first):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    inner = _inner_starts(data, blank, first)
+    if len(inner):
+        first = np.sort(np.concatenate([first, inner]))
     inside = np.arange(len(data), dtype=np.int64)
     run = np.diff(np.r_[first, len(data)])
     tail = slice(first[0], None)
     inside = inside[tail] - np.repeat(first, run)
-    letters = np.where(blank[tail], np.uint64(0), (data[tail].astype(np.uint64) + np.uint64(1)) * _POWERS[np.minimum(inside, 63)] + (inside.astype(np.uint64) << np.uint64(7)))
-    words = _mix(np.add.reduceat(letters, first - first[0]), _SEEDS[0])
+    powers = _POWERS
+    if run.max() > LONG_WORD and (longest := int(inside.max(where=~blank[tail], initial=0)) + 1) > LONG_WORD:
+        powers = np.cumprod(np.full(longest, _PRIME))
+    letters = np.where(blank[tail], np.uint64(0), (data[tail].astype(np.uint64) + np.uint64(1)) * powers[np.minimum(inside, len(powers) - 1)] + (inside.astype(np.uint64) << np.uint64(7)))
+    sums = np.add.reduceat(letters, first - first[0])
+    sums[np.searchsorted(first, inner)] ^= _SEEDS[2]
+    words = _mix(sums, _SEEDS[0])
     lines = np.add.reduceat((data[tail] == 10).astype(np.int32), first - first[0])
     ends = (lines > 0) | (words % np.uint64(CUT) == 0)
     ends[-1] = True
