@@ -113,3 +113,29 @@ def test_odd_rows(spark):
         raw = [(r.text or "").encode() for r in df.collect()]
         got = repeats.repeated_passages(repeats.numbered(df)).collect()
         assert len(got) == sum(bool(w) for w in plain_spans(raw, 200))
+
+
+def test_edges_of_a_common_line_are_counted_not_indexed(spark, monkeypatch):
+    rng = random.Random(7)
+    seen = []
+    split = repeats.split_crowded
+
+    def spy(pieces, hot):
+        seen.append((pieces, *split(pieces, hot)))
+        return seen[-1][1:]
+
+    monkeypatch.setattr(repeats, "split_crowded", spy)
+    line = "".join(rng.choice("abcdefgh ") for _ in range(230))
+    texts = ["".join(rng.choice("stuvwxyz") for _ in range(60)) + line + "".join(rng.choice("stuvwxyz") for _ in range(60)) for _ in range(80)]
+    texts += [t[:30] + "#" + t[31:] for t in texts[:3]]  # these share passages over the line's edges
+    raw = [t.encode() for t in texts]
+    want = plain_spans(raw, 200)
+    assert all(w and w[0][1] - w[0][0] >= 230 for w in want)
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)
+    docs = repeats.numbered(df)
+    ids = {r.rid: r.doc_id for r in docs.select("rid", "doc_id").collect()}
+    got = {ids[r.rid]: [(s["first"], s["end"]) for s in r.spans] for r in repeats.repeated_passages(docs, hot=20).collect()}
+    assert got == {i: w for i, w in enumerate(want) if w}
+    pieces, few, crowded = seen[0]
+    most = lambda p: max((r["count"] for r in p.groupBy("key").count().collect()), default=0)
+    assert most(pieces.filter("piece IS NOT NULL")) > 20 >= most(few) and crowded.count() > 20

@@ -10,7 +10,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.base import batch_bytes, chunks, documents, placed, stored, utf8
+from tidemark.llm.base import BROADCAST_ROWS, batch_bytes, chunks, documents, placed, stored, utf8
+from tidemark.session import materialize
 
 LENGTH = 200  # bytes of a passage
 GRAM_STEPS = (1, 2, 4, 8, 16, 32)
@@ -277,6 +278,45 @@ def _indexed(length: int):
     return run
 
 
+def _single(length: int):
+    """Pieces cut into single starts: each with the digest of its whole passage."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for d1, d2, piece in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                for low in range(len(piece) - length + 1):
+                    digest = xxhash.xxh3_128_intdigest(piece[low : low + length])
+                    rows.append((d1, d2, low, (digest >> 64) - (1 << 63), (digest & ((1 << 64) - 1)) - (1 << 63)))
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["d1", "d2", "low", "p1", "p2"])
+
+    return run
+
+
+def split_crowded(pieces: DataFrame, hot: int) -> tuple[DataFrame, DataFrame | None]:
+    """``pieces`` that carry bytes, of keys with at most ``hot`` of them and of all other keys (None if there is none)."""
+    sent = pieces.filter("piece IS NOT NULL")
+    keys, many = materialize(sent.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot).select("key"), "crowded-keys")
+    if not many:
+        return sent, None
+    keys = F.broadcast(keys) if many <= BROADCAST_ROWS else keys.hint("merge")
+    return sent.join(keys, "key", "left_anti"), sent.join(keys, "key", "left_semi")
+
+
+def single_ranges(crowded: DataFrame, times: DataFrame, length: int) -> DataFrame:
+    """(d1, d2, low, high): the starts in ``crowded`` pieces whose passage stands in several places, counted by its digest.
+
+    Counting has a map-side part, so a passage in any number of pieces gathers nowhere.
+    """
+    singles = stored(crowded.select("d1", "d2", "piece").mapInArrow(_single(length), "d1 long, d2 long, low long, p1 long, p2 long").join(times.hint("merge"), ["d1", "d2"]), "single-starts")
+    places = ["d1", "d2", "low"]  # a piece sent by several tasks is one place: only different ones, or its times, count
+    ends = [f(c).alias(f"{n}_{c}") for c in places for f, n in ((F.min, "min"), (F.max, "max"))]
+    differ = " OR ".join(f"min_{c} <> max_{c}" for c in places)
+    repeated = stored(singles.groupBy("p1", "p2").agg(F.max("times").alias("most"), *ends).filter(f"most > 1 OR {differ}").select("p1", "p2"), "repeated-starts")
+    return singles.join(repeated.hint("merge"), ["p1", "p2"]).select("d1", "d2", "low", F.col("low").alias("high"))
+
+
 def _cut(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -312,7 +352,9 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, hot: int = HOT) ->
     bytes move; a group of copies of any size ends here. For other anchors the distinct stretches of each task
     are shuffled by anchor and indexed in blocks: passages with a match of ``length`` bytes elsewhere in the index, or
     in a stretch that stands in several places, are repeated. An anchor with more than ``hot`` stretches, say in a line that very
-    many texts hold, is replaced by what ``FINE`` neighbouring passages share, nearly their whole length.
+    many texts hold, is replaced by what ``FINE`` neighbouring passages share, nearly their whole length. Where still more than
+    ``hot`` pieces share this, say at the edges of such a line, single passages are counted by their digests, so no index
+    holds more than ``hot`` pieces of a key.
 
     Null and empty texts, and texts shorter than ``length``, repeat nothing. Repeated rows repeat each other.
     A text of one repeated byte repeats itself. Very long texts are read in slices. No rows: no rows.
@@ -332,11 +374,12 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, hot: int = HOT) ->
     pieces = stored(mixed.mapInArrow(_pieces(length), "rid long, start long, key long, d1 long, d2 long, piece binary"), "pieces")
     # a piece that several tasks have sent stands there once for each; that it stands there more often is in the counts
     times = pieces.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("times"))
-    first = pieces.filter("piece IS NOT NULL").join(times.hint("merge"), ["d1", "d2"])
-    ranges = stored(
-        first.repartition(F.col("key")).sortWithinPartitions("key").select("key", "d1", "d2", F.col("times"), "piece").mapInArrow(_indexed(length), "d1 long, d2 long, low long, high long").distinct(),
-        "repeated-ranges",
-    )
+    few, crowded = split_crowded(pieces, hot)
+    first = few.join(times.hint("merge"), ["d1", "d2"])
+    ranges = first.repartition(F.col("key")).sortWithinPartitions("key").select("key", "d1", "d2", F.col("times"), "piece").mapInArrow(_indexed(length), "d1 long, d2 long, low long, high long")
+    if crowded is not None:
+        ranges = ranges.union(single_ranges(crowded, times, length))
+    ranges = stored(ranges.distinct(), "repeated-ranges")
     inside = pieces.select("rid", "start", "d1", "d2").join(ranges.hint("merge"), ["d1", "d2"]).select("rid", (F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high")).alias("high"))
     whole = touched.select("rid", F.explode(F.filter("found", lambda f: f["alike"])).alias("f")).select("rid", F.col("f.start").cast("long").alias("low"), (F.col("f.start") + F.col("f.n") - 1).cast("long").alias("high"))
     marks = inside.union(whole).groupBy("rid").agg(F.collect_list(F.struct("low", "high")).alias("marks"))
