@@ -1,7 +1,9 @@
 """Cases in which rows, pages, versions or schemas were once lost or mixed up."""
 
+import datetime
 import json
 import warnings
+from decimal import Decimal
 
 import pandas as pd
 import pytest
@@ -96,6 +98,50 @@ def test_all_null_texts_hold(spark):
         docs.reader_options({"customMetadata": {"textParserParams": {"dateFormat": {"a": ["yyyy", "MM"]}}}})
 
 
+def test_null_texts_hold_in_columns_of_all_types(spark):
+    schema = spark.createDataFrame([], "i int, m decimal(8,2), d date, x bigint, s string").schema
+    parser = {"nullValues": ["", "-999", "01/01/1900"], "nullValuesPerColumn": {"x": ["-1"]}, "dateFormat": {"d": ["dd/MM/yyyy"]}}
+    lines = ["5;1.25;03/02/2020;-1;a", "-999;-999;01/01/1900;7;-999", ";-1.00;;-999;b", "-1;2.50;31/12/1999;-10;", "oops;3;2020;8;c"]
+    date = datetime.date
+    want = [
+        (5, Decimal("1.25"), date(2020, 2, 3), None, "a"),
+        (None, None, None, 7, None),
+        (None, Decimal("-1.00"), None, None, "b"),
+        (-1, Decimal("2.50"), date(1999, 12, 31), -10, None),
+        (None, Decimal("3.00"), None, 8, "c"),
+    ]
+    for skip in (0, 2):
+        folder = fresh_dir(spark, "typed-nulls")
+        spark.createDataFrame([("\n".join(["# above"] * skip + lines),)], "value string").coalesce(1).write.text(folder)
+        doc = docs.to_document(schema, "csv", text_parser={"fieldDelimiter": ";", "skipLines": skip, **parser})
+        frame = readers.read_files(spark, [folder], doc)
+        assert [f.dataType for f in frame.schema] == [f.dataType for f in schema]
+        assert sorted(map(repr, map(tuple, frame.collect()))) == sorted(map(repr, want))
+
+
+def test_jagged_rows_are_thrown_or_dropped(spark):
+    folder = fresh_dir(spark, "jagged")
+    spark.createDataFrame([("a,b",), ("1,2",), ("x,3",), ("4",), ("5,6,7",)], "value string").coalesce(1).write.text(folder)
+    schema = spark.createDataFrame([], "a int, b int").schema
+    read = lambda how: readers.read_files(spark, [folder], docs.to_document(schema, "csv", text_parser={"jaggedRowBehavior": how}))
+    dropped = read("DROP_ROW")
+    assert sorted(map(repr, map(tuple, dropped.collect()))) == ["(1, 2)", "(None, 3)"]
+    assert dropped.select("a").count() == 2
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read("THROW_EXCEPTION").collect()
+    with pytest.raises(ValueError, match="jaggedRowBehavior"):
+        read("IGNORE")
+
+
+def test_null_texts_leave_partition_folders_alone(spark):
+    folder = fresh_dir(spark, "folder-nulls")
+    spark.createDataFrame([("v",), ("5",), ("-1",)], "value string").coalesce(1).write.text(f"{folder}/p=-1")
+    schema = spark.createDataFrame([], "v int, p int").schema
+    doc = docs.to_document(schema, "csv", text_parser={"nullValues": ["", "-1"]})
+    got = readers.read_files(spark, [f"{folder}/p=-1"], doc, base_path=folder).select("v", "p").collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(["(5, -1)", "(None, -1)"])
+
+
 def test_all_skipped_lines_are_skipped(spark):
     folder = fresh_dir(spark, "skipped")
     text = "\n".join(["# one", "# two", "a,b", *[f"{i},x{i}" for i in range(50)]])

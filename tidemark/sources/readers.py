@@ -40,25 +40,60 @@ def read_files(
     if doc is not None:
         fmt = docs.reader_format(doc)
         options = {**docs.reader_options(doc), **(options or {})}
-        reader = reader.schema(docs.to_struct_type(doc))
+        schema = docs.to_struct_type(doc)
+        jagged = docs.jagged_mode(doc) if fmt == "csv" else None
+        late = _typed_late(spark, paths, schema, doc, base_path, jagged is not None) if fmt == "csv" else []
+        fields = options
+        if late and options.get("mode", "").upper() == "DROPMALFORMED":
+            raise ValueError(f"mode DROPMALFORMED does not go with null texts of the columns {late}")
+        if jagged:  # as all fields are read as text, the mode is about their number alone
+            if jagged == "DROPMALFORMED" and docs.skipped_lines(doc) > 1:
+                raise ValueError("jagged rows cannot be dropped below several skipped lines")
+            options = {**options, "mode": jagged, "columnPruning": "false"}
+        read_as = T.StructType([T.StructField(f.name, T.StringType()) if f.name in late else f for f in schema])
+        reader = reader.schema(read_as)
     elif fmt == "csv":
         options = {"inferSchema": "true", "header": "true", **(options or {})}
     if base_path:
         reader = reader.option("basePath", base_path)
     if doc is not None and fmt == "csv" and docs.skipped_lines(doc) > 1:
-        frame = _after_lines(spark, paths, docs.skipped_lines(doc), doc, options, base_path)
+        frame = _after_lines(spark, paths, docs.skipped_lines(doc), read_as, options, base_path)
     else:
         frame = reader.format(fmt).options(**(options or {})).load(paths)
-    return frame if doc is None else _with_nulls(frame, docs.null_values(doc))
+    if doc is None:
+        return frame
+    frame = _with_nulls(frame, docs.null_values(doc))
+    return frame.withColumns({n: _parsed(F.col(f"`{n}`"), schema[n].dataType, fields) for n in late}) if late else frame
+
+
+def _typed_late(spark: SparkSession, paths: list[str], schema: T.StructType, doc: dict, base_path: str | None, every: bool) -> list[str]:
+    """Columns of CSV files, other than strings, with further null texts (or ``every`` one): these are replaced before the text is parsed.
+
+    Not those that partition folders give.
+    """
+    nulls = docs.null_values(doc)
+    found = [f.name for f in schema if not isinstance(f.dataType, T.StringType) and (every or None in nulls or f.name in nulls)]
+    if not found:
+        return []
+    reader = spark.read.option("basePath", base_path) if base_path else spark.read
+    folders = set(reader.text(paths).columns[1:])
+    return [n for n in found if n not in folders]
+
+
+def _parsed(column: Column, kind: T.DataType, options: dict) -> Column:
+    """A field's text as a value of ``kind``, by the rules of Spark's CSV reader and its options."""
+    unfit = ("header", "lineSep", "encoding", "sep", "delimiter", "quote", "escape", "comment", "multiline")
+    parse = {k: v for k, v in options.items() if k not in unfit} | {"sep": "\x01", "quote": ""}
+    value = F.from_csv(column, f"v {kind.simpleString()}", parse).getField("v")
+    return F.when(~column.rlike("[\x01\r\n]"), value)
 
 
-def _after_lines(spark: SparkSession, paths: list[str], skip: int, doc: dict, options: dict, base_path: str | None) -> DataFrame:
+def _after_lines(spark: SparkSession, paths: list[str], skip: int, schema: T.StructType, options: dict, base_path: str | None) -> DataFrame:
     """CSV records below the first ``skip`` lines of each file; Spark's own reader skips one at most.
 
     The lines of a file's first split are numbered in order, so the least number per file tells which to leave out.
     """
     reader = spark.read.option("basePath", base_path) if base_path else spark.read
-    schema = docs.to_struct_type(doc)
     if options.get("multiline") == "true":
         whole = reader.format("binaryFile").load(paths)
         folders = [n for n in whole.columns if n in schema.names and n not in ("path", "modificationTime", "length", "content")]

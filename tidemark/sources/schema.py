@@ -178,6 +178,16 @@ def null_values(doc: dict) -> dict[str | None, list[str]]:
     return {k: v for k, v in found.items() if v}
 
 
+def jagged_mode(doc: dict) -> str | None:
+    """The mode of Spark's CSV reader for records with more or fewer fields than the document; None where it says nothing."""
+    params = (doc.get("customMetadata") or {}).get("textParserParams") or {}
+    modes = {None: None, "THROW_EXCEPTION": "FAILFAST", "DROP_ROW": "DROPMALFORMED"}
+    behavior = params.get("jaggedRowBehavior") or None
+    if behavior not in modes:
+        raise ValueError(f"unknown jaggedRowBehavior {behavior!r}")
+    return modes[behavior]
+
+
 def load_sidecar(text: str) -> tuple[T.StructType, dict[str, str]]:
     """(schema, options) of a schema file: a document, or a bare Spark schema whose CSV files have a header."""
     parsed = json.loads(text)
