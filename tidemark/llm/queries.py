@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import exact, language, mixing, packing, quality, recurrent, repeats, sharding, simhash, sketches
+from tidemark.llm import collocations, exact, language, mixing, packing, quality, recurrent, repeats, sharding, simhash, sketches
 
 QUERIES = {
     "op1_attention_quality": quality.op1_attention_quality,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_squares_packing": packing.op8_squares_packing,
     "op9_repeated_passages": repeats.op9_repeated_passages,
     "op10_mixture": mixing.op10_mixture,
+    "op11_phrase_collocations": collocations.op11_phrase_collocations,
 }
 
-ORACLES = {"op7_exact_groups": exact.OP7_SQL}
+ORACLES = {"op7_exact_groups": exact.OP7_SQL, "op11_phrase_collocations": collocations.OP11_SQL}
