@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import collocations, exact, language, mixing, packing, quality, recurrent, repeats, sharding, simhash, sketches
+from tidemark.llm import collocations, conversations, exact, jaccard, language, mixing, packing, quality, recurrent, repeats, sharding, simhash, sketches
 
 QUERIES = {
     "op1_attention_quality": quality.op1_attention_quality,
@@ -16,6 +16,13 @@ QUERIES = {
     "op9_repeated_passages": repeats.op9_repeated_passages,
     "op10_mixture": mixing.op10_mixture,
     "op11_phrase_collocations": collocations.op11_phrase_collocations,
+    "op12_similar_groups": jaccard.op12_similar_groups,
+    "op13_prefix_trie": conversations.op13_prefix_trie,
 }
 
-ORACLES = {"op7_exact_groups": exact.OP7_SQL, "op11_phrase_collocations": collocations.OP11_SQL}
+ORACLES = {
+    "op7_exact_groups": exact.OP7_SQL,
+    "op11_phrase_collocations": collocations.OP11_SQL,
+    "op12_similar_groups": jaccard.OP12_SQL,
+    "op13_prefix_trie": conversations.OP13_SQL,
+}
