@@ -8,6 +8,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +18,16 @@ from tidemark.llm.base import batch_bytes, chunks, documents, utf8
 LENGTH = 4096
 END = 2
 MOST_OPEN = 1024
-CHUNK_BYTES = 2 << 20
-CACHED_WORDS = 1_200_000
+CHUNK_BYTES = 4 << 20
+# Words kept while a task runs, and from one task of a worker to the next: some 250 bytes each.
+CACHED_WORDS, KEPT_WORDS = 500_000, 100_000
 MARKS = b".,!?;:|%$#&*"
 JOINED = 64
-_ASCII_LETTERS = frozenset(bytes([c]) for c in b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+_ASCII_LETTERS = frozenset(bytes([c]) for c in b"abcdefghijklmnopqrstuvwxyz")
+_MARK = np.zeros(256, bool)
+_MARK[list(MARKS)] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 
 
 class _Numbers(dict):
@@ -60,9 +66,9 @@ class _Column:
 class WordTokens:
     """Token ids of texts, word by word: the tokenizer never joins across ASCII white space and drops it.
 
-    A word is cut once more before its last run of marks if a letter precedes them, which the tokenizer does too, and
-    A-Z are lower-cased, as it does. The ids of words and parts are kept for later texts. Beyond a bounded number of
-    words or bytes only words that came several times stay, or none if these are too many as well.
+    A-Z are lower-cased, as it does, and a word is cut once more before its last run of marks if a letter precedes them,
+    which the tokenizer does too. The ids of these parts of words are kept for later texts. Beyond a bounded number of
+    parts or bytes only those that came several times stay, the most frequent ones if these are too many as well.
     """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS) -> None:
@@ -75,46 +81,40 @@ class WordTokens:
         self._forget()
 
     def _forget(self) -> None:
-        self.known, self.parts, self.bytes = _Numbers(), _Numbers(), 0
-        self.halves = _Column(np.zeros((0, 2), np.int64))  # the two parts of each word
-        # all ids, and of each part where its own begin and how many they are
-        self.flat, self.first, self.count = _Column(np.zeros(0, np.uint32)), _Column(np.zeros(0, np.int64)), _Column(np.zeros(0, np.int64))
+        self.parts, self.bytes = _Numbers(), 0
+        # all ids, and of each part where its own begin, how many they are and how often it came
+        self.flat, self.first, self.count = _Column(np.zeros(0, np.uint32)), _Column(np.zeros(0, np.int64)), _Column(np.zeros(0, np.int32))
         self.hits = _Column(np.zeros(0, np.int64))
 
-    def _trim(self) -> None:
-        often = self.hits.values > 2
-        words = [w for w, keep in zip(self.known, often.tolist(), strict=True) if keep]
-        if len(words) > self.cached // 2 or sum(map(len, words)) > 8 * self.cached:
+    def trim(self, most: int) -> None:
+        """Forgets all parts but at most ``most`` of those that came several times, the most frequent ones."""
+        hits, parts = self.hits.values, list(self.parts)
+        often = hits > 2
+        if often.sum() > most:
+            often &= hits >= np.partition(hits, -most)[-most]
+        used = np.flatnonzero(often)[:most]
+        parts = [parts[k] for k in used.tolist()]
+        size = sum(map(len, parts))
+        if size > 16 * most:
             return self._forget()
-        old, parts = self.halves.values[often], list(self.parts)
-        used = np.unique(old)
         count = self.count.values[used]
         self.flat = _Column(self._gather(used))
-        self.first, self.count = _Column(np.cumsum(count) - count), _Column(count)
-        self.known, self.parts = _Numbers(), _Numbers()
-        self.known.update(zip(words, range(len(words)), strict=True))
-        self.parts.update((parts[k], n) for n, k in enumerate(used.tolist()))
-        self.halves, self.hits = _Column(np.searchsorted(used, old)), _Column(np.ones(len(words), np.int64))
-        self.bytes = sum(map(len, words))
-
-    def _learn(self, words: list[bytes]) -> None:
-        number, cores, marks = self.parts.__getitem__, [], []
-        for word in words:
-            core = word.rstrip(MARKS)
-            if len(core) < len(word) and core[-1:] not in _ASCII_LETTERS and not core[-4:].decode("utf-8", "ignore")[-1:].isalpha():
-                core = word
-            cores.append(number(core.lower()))
-            marks.append(number(word[len(core) :]))
-        self.halves.extend(np.array([cores, marks], np.int64).T)
-        self.hits.extend(np.zeros(len(words), np.int64))
-        self.bytes += sum(map(len, words))
-        new, self.parts.new = [p.decode("utf-8", "replace") for p in self.parts.new], []
+        self.first, self.count = _Column(np.cumsum(count, dtype=np.int64) - count), _Column(count)
+        self.parts = _Numbers()
+        self.parts.update(zip(parts, range(len(parts)), strict=True))
+        self.hits, self.bytes = _Column(np.ones(len(parts), np.int64)), size
+
+    def _learn(self) -> None:
+        """Ids of the parts numbered since the last call."""
+        new, self.parts.new = self.parts.new, []
         if not new:
             return
+        self.bytes += sum(map(len, new))
+        new = [p.decode("utf-8", "replace") for p in new]
         # letters only is one word to the tokenizer, so many can be encoded as one text and told apart by the ends of words
         letters = np.fromiter((p.isalpha() for p in new), bool, len(new))
         plain, other = np.flatnonzero(letters), np.flatnonzero(~letters)
-        first, count = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        first, count = np.zeros(len(new), np.int64), np.zeros(len(new), np.int32)
         if len(plain):
             texts = [new[k] for k in plain.tolist()]
             ids, sizes = self._ids([" ".join(texts[k : k + JOINED]) for k in range(0, len(texts), JOINED)])
@@ -134,6 +134,7 @@ class WordTokens:
             self.flat.extend(ids)
         self.first.extend(first)
         self.count.extend(count)
+        self.hits.extend(np.zeros(len(new), np.int64))
 
     @staticmethod
     def _begins(ends: np.ndarray, sizes: np.ndarray, good: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -155,20 +156,42 @@ class WordTokens:
         return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        if len(self.known) > self.cached or self.bytes > 16 * self.cached:
-            self._trim()
-        split = [t.split() for t in texts]
-        number = self.known.__getitem__
-        found = [np.fromiter(map(number, words), np.int64, len(words)) for words in split]
-        if self.known.new:
-            new, self.known.new = self.known.new, []
-            self._learn(new)
-        halves = self.halves.values
-        out = [self._gather(halves[at].ravel()) for at in found]
-        if found:
-            hits = np.bincount(np.concatenate(found))
-            self.hits.values[: len(hits)] += hits
-        return out
+        offsets = np.zeros(len(texts) + 1, np.int64)
+        np.cumsum([len(t) for t in texts], out=offsets[1:])
+        return self.encode_bytes(np.frombuffer(b"".join(texts), np.uint8), offsets)
+
+    def encode_bytes(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        """The ids of the texts that lie in ``data`` between ``offsets``; distinct words are looked up once."""
+        if len(self.parts) > self.cached or self.bytes > 16 * self.cached:
+            self.trim(self.cached // 2)
+        own = pa.py_buffer(np.ascontiguousarray(offsets - offsets[0]))
+        texts = pa.Array.from_buffers(pa.large_string(), len(offsets) - 1, [None, own, pa.py_buffer(_LOWER[data[int(offsets[0]) : int(offsets[-1])]])])
+        split = pc.ascii_split_whitespace(texts)
+        bounds, words = split.offsets.to_numpy(), split.values.dictionary_encode()
+        at, distinct = words.indices.to_numpy(), words.dictionary.cast(pa.large_binary())
+        content, ends = batch_bytes(distinct)
+        empty, number = ends[1:] == ends[:-1], self.parts.__getitem__
+        marked = np.zeros(len(distinct), bool)
+        marked[~empty] = _MARK[content[ends[1:][~empty] - 1]]
+        distinct = distinct.to_pylist()
+        halves = np.empty((len(distinct), 2), np.int64)
+        plain = np.flatnonzero(~marked)
+        halves[plain, 0] = np.fromiter((number(distinct[k]) for k in plain.tolist()), np.int64, len(plain))
+        halves[:, 1] = number(b"")
+        for k in np.flatnonzero(marked).tolist():
+            word = distinct[k]
+            core = word.rstrip(MARKS)
+            if core[-1:] in _ASCII_LETTERS or core[-4:].decode("utf-8", "ignore")[-1:].isalpha():
+                halves[k] = number(core), number(word[len(core) :])
+            else:
+                halves[k, 0] = number(word)
+        self._learn()
+        np.add.at(self.hits.values, halves.ravel(), np.repeat(np.bincount(at, minlength=len(distinct)), 2))
+        parts = halves[at]  # white space at either end of a text gives an empty word, which has no ids
+        cuts = np.zeros(len(at) + 1, np.int64)
+        np.cumsum(self.count.values[halves].sum(axis=1)[at], out=cuts[1:])
+        ids, cuts = self._gather(parts.ravel()), cuts[bounds]
+        return [ids[i:j] for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
 
 class SquaresPacker:
@@ -276,18 +299,19 @@ _tokens: dict[str, WordTokens] = {}
 
 def _packed(path: str, length: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _tokens:  # stays in the worker for its later tasks
+        if path not in _tokens:  # stays in the worker for its later tasks, with few words
             _tokens[path] = WordTokens(path)
         encoder = _tokens[path]
+        encoder.trim(KEPT_WORDS)
         sequence = TaskContext.get().partitionId() << 36
 
         def items() -> Iterator[tuple[object, np.ndarray]]:
             for b in batches:
                 keys, (data, offsets) = b.column(0).to_pylist(), batch_bytes(b.column(1))
                 for i, j in chunks(offsets, CHUNK_BYTES):
-                    texts = [data[offsets[k] : offsets[k + 1]].tobytes() for k in range(i, j)]
-                    for key, ids in zip(keys[i:j], encoder.encode(texts), strict=True):
+                    for key, ids in zip(keys[i:j], encoder.encode_bytes(data, offsets[i : j + 1]), strict=True):
                         yield key, np.append(ids, np.uint32(end))
+            encoder.trim(KEPT_WORDS)
 
         rows: list[tuple] = []
         held = 0
