@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import csv
-import io
 import warnings
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import DatasetHasNoFilesError
+from tidemark.session import fresh_dir
 from tidemark.sources import schema as docs
+from tidemark.sources.records import csv_records
 
 # Folder names of a written version: as partitions they let one scan cover many transactions.
 TRANSACTION_FOLDER, TOP_FOLDER = "__txn", "__folder"
@@ -56,8 +55,9 @@ def read_files(
         options = {"inferSchema": "true", "header": "true", **(options or {})}
     if base_path:
         reader = reader.option("basePath", base_path)
-    if doc is not None and fmt == "csv" and docs.skipped_lines(doc) > 1:
-        frame = _after_lines(spark, paths, docs.skipped_lines(doc), read_as, options, base_path)
+    spanning = doc is not None and fmt == "csv" and options.get("multiline") == "true" and options.get("mode", "").upper() != "DROPMALFORMED"
+    if spanning or doc is not None and fmt == "csv" and docs.skipped_lines(doc) > 1:
+        frame = _by_records(spark, paths, docs.skipped_lines(doc), read_as, options, base_path)
     else:
         frame = reader.format(fmt).options(**(options or {})).load(paths)
     if doc is None:
@@ -88,17 +88,25 @@ def _parsed(column: Column, kind: T.DataType, options: dict) -> Column:
     return F.when(~column.rlike("[\x01\r\n]"), value)
 
 
-def _after_lines(spark: SparkSession, paths: list[str], skip: int, schema: T.StructType, options: dict, base_path: str | None) -> DataFrame:
-    """CSV records below the first ``skip`` lines of each file; Spark's own reader skips one at most.
+def _by_records(spark: SparkSession, paths: list[str], skip: int, schema: T.StructType, options: dict, base_path: str | None) -> DataFrame:
+    """CSV records as Spark parses them, for files that its own reader reads by one task each (records with line breaks) or not at
+    all: it skips one line at most. A single skipped line is a header, which may be a record of several lines.
 
-    The lines of a file's first split are numbered in order, so the least number per file tells which to leave out.
+    In files of plain lines the lines of a file's first split are numbered in order, so the least number per file tells which
+    to leave out.
     """
-    reader = spark.read.option("basePath", base_path) if base_path else spark.read
-    if options.get("multiline") == "true":
-        whole = reader.format("binaryFile").load(paths)
-        folders = [n for n in whole.columns if n in schema.names and n not in ("path", "modificationTime", "length", "content")]
-        kept = _records(whole.select("content", *folders), skip, options.get("sep", ","), options.get("quote", '"'))
+    charset, spanning = options.get("encoding", "UTF-8"), options.get("multiline") == "true"
+    if spanning or charset.upper() not in ("UTF-8", "UTF8", "US-ASCII"):
+        quote, escape = options.get("quote", '"'), options.get("escape", "\\")
+        kept = csv_records(
+            spark, paths, delimiter=options.get("sep", ","), quote=quote, escape=escape, charset=charset, base_path=base_path,
+            line_end=options.get("lineSep", "\n"), skip=skip if skip > 1 else 0, spanning=spanning,
+        )
+        folders = [n for n in kept.columns if n in schema.names and n != "value" and not n.startswith("__")]
+        if skip == 1:
+            kept = kept.where("NOT __leading")
     else:
+        reader = spark.read.option("basePath", base_path) if base_path else spark.read
         reader = reader.option("lineSep", options["lineSep"]) if "lineSep" in options else reader
         lines = reader.text(paths).withColumns(
             {"__file": F.col("_metadata.file_path"), "__start": F.col("_metadata.file_block_start"), "__line": F.monotonically_increasing_id()}
@@ -106,29 +114,12 @@ def _after_lines(spark: SparkSession, paths: list[str], skip: int, schema: T.Str
         folders = [n for n in lines.columns if n in schema.names and n != "value"]
         heads = lines.where("__start = 0").groupBy("__file").agg((F.min("__line") + skip).alias("__first"))
         kept = lines.join(heads, "__file").where((F.col("__start") > 0) | (F.col("__line") >= F.col("__first")))
-    kept = kept.where(F.trim("value") != "")
-    own = T.StructType([f for f in schema if f.name not in folders])
-    parse = {k: v for k, v in options.items() if k not in ("header", "lineSep", "encoding")}
-    parsed = kept.select(F.from_csv("value", own.simpleString(), parse).alias("r"), *[F.col(f"`{n}`").cast(schema[n].dataType) for n in folders])
-    return parsed.select(*[F.col(f"`{n}`") if n in folders else F.col("r").getField(n).alias(n) for n in schema.names])
-
-
-def _records(files: DataFrame, skip: int, delimiter: str, quote: str) -> DataFrame:
-    """The records of files with line breaks inside quotes, below their first ``skip`` lines; a file is read by one task,
-    as by Spark's own reader of such files."""
-    folders = [f for f in files.schema if f.name != "content"]
-
-    def run(batches):
-        for batch in batches:
-            for k, content in enumerate(batch["content"]):
-                lines = content.decode("utf-8", "replace").splitlines(keepends=True)[skip:]
-                parser, ends = csv.reader(lines, delimiter=delimiter, quotechar=quote), [0]
-                ends += [parser.line_num for _ in parser]
-                records = ["".join(lines[i:j]).rstrip("\r\n") for i, j in zip(ends, ends[1:], strict=False)]
-                yield pd.DataFrame({"value": records} | {f.name: batch[f.name].iat[k] for f in folders})
-
-    made = T.StructType([T.StructField("value", T.StringType()), *folders])
-    return files.mapInPandas(run, made)
+        kept = kept.where(F.trim("value") != "")
+    place = {f.name: f"c{i}" for i, f in enumerate(f for f in schema if f.name not in folders)}
+    own = ", ".join(f"{at} {schema[n].dataType.simpleString()}" for n, at in place.items())
+    parse = {k: v for k, v in options.items() if k not in ("header", "lineSep", "encoding", "columnPruning")}
+    parsed = kept.select(F.from_csv("value", own, parse).alias("r"), *[F.col(f"`{n}`").cast(schema[n].dataType) for n in folders])
+    return parsed.select(*[F.col(f"`{n}`") if n in folders else F.col("r").getField(place[n]).alias(n) for n in schema.names])
 
 
 def _with_nulls(frame: DataFrame, nulls: dict[str | None, list[str]]) -> DataFrame:
@@ -242,38 +233,16 @@ def from_arrow(spark: SparkSession, table) -> DataFrame:
 SEPARATORS = ",;\t|"
 
 
-def _separator_counts(spark: SparkSession, paths: list[str]) -> tuple[list[dict], bool]:
-    """Per candidate separator the least, largest and total number in a record, over all records; whether quotes match up.
-
-    One aggregate over all lines. Where a quoted field holds a line break, records are found by a CSV reader instead,
-    file by file, as Spark reads such files too.
-    """
-    lines = spark.read.text(paths).where(F.trim("value") != "")
-    bare = F.regexp_replace("value", '"[^"]*"', "")
+def _separator_counts(records: DataFrame) -> tuple[list[dict], bool, bool]:
+    """Per candidate separator the least, largest and total number in a record, over all records; whether there is any
+    record, and whether quotes match up. One aggregate; what stands in quotes does not count."""
+    plain = F.replace(F.regexp_replace("value", r"(?s)\\.", ""), F.lit('""'), F.lit(""))
+    bare = F.regexp_replace(plain, '"[^"]*"', "")
     counts = [F.length(bare) - F.length(F.replace(bare, F.lit(s), F.lit(""))) for s in SEPARATORS]
     columns = [f(c).alias(f"{n}{i}") for i, c in enumerate(counts) for n, f in (("low", F.min), ("high", F.max), ("total", F.sum))]
-    row = lines.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.contains(bare, F.lit('"'))).alias("odd"), *columns).first()
-    if not row["n"]:
-        return [], True
-    if not row["odd"]:
-        return [{"separator": s, **{n: row[f"{n}{i}"] for n in ("low", "high", "total")}} for i, s in enumerate(SEPARATORS)], True
-
-    def per_file(batches):
-        for batch in batches:
-            for content in batch["content"]:
-                text = content.decode("utf-8", "replace")
-                for s in SEPARATORS:
-                    widths = [len(r) - 1 for r in csv.reader(io.StringIO(text, newline=""), delimiter=s) if r]
-                    yield pd.DataFrame({"separator": [s], "low": [min(widths)], "high": [max(widths)], "total": [sum(widths)], "odd": [text.count('"') % 2]})
-
-    found = (
-        spark.read.format("binaryFile").load(paths).select("content")
-        .mapInPandas(per_file, "separator string, low long, high long, total long, odd long")
-        .groupBy("separator")
-        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("total").alias("total"), F.sum("odd").alias("odd"))
-        .collect()
-    )
-    return [r.asDict() for r in found], not any(r["odd"] for r in found)
+    row = records.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.contains(bare, F.lit('"'))).alias("odd"), *columns).first()
+    found = [{"separator": s, **{n: row[f"{n}{i}"] for n in ("low", "high", "total")}} for i, s in enumerate(SEPARATORS)]
+    return found, row["n"] > 0, not row["odd"]
 
 
 def infer_schema(spark: SparkSession, paths: list[str], fmt: str) -> dict:
@@ -289,14 +258,37 @@ def infer_schema(spark: SparkSession, paths: list[str], fmt: str) -> dict:
         return docs.to_document(spark.read.json(paths).schema, "json")
     if fmt != "csv":
         raise ValueError(f"cannot infer a schema for {fmt} files")
-    counts, matched = _separator_counts(spark, paths)
-    if not counts:
+    lines = spark.read.text(paths).where(F.trim("value") != "")
+    counts, filled, matched = _separator_counts(lines)
+    if not filled:
         raise ValueError("cannot infer a schema: the files are empty")
+    spanning = not matched
+    if spanning:  # a quote stays open at the end of some line: look at records that may hold line breaks
+        counts, _, matched = _separator_counts(csv_records(spark, paths, delimiter=list(SEPARATORS)))
     best = max(counts, key=lambda c: (c["low"] == c["high"] > 0, c["total"], -SEPARATORS.index(c["separator"])))
     separator = best["separator"]
     if best["low"] < best["high"] or not matched:
         warnings.warn(f"ambiguous CSV: records have {best['low'] + 1} to {best['high'] + 1} fields with separator {separator!r}", stacklevel=2)
-    frame = spark.read.options(header="true", inferSchema="true", sep=separator).csv(paths)
-    if not frame.columns:
+    if spanning and matched:
+        schema = _types_of_records(spark, csv_records(spark, paths, delimiter=separator), separator)
+    else:
+        schema, spanning = spark.read.options(header="true", inferSchema="true", sep=separator).csv(paths).schema, False
+    if not schema:
         raise ValueError("cannot infer a schema: no columns found")
-    return docs.to_document(frame.schema, "csv", text_parser={"fieldDelimiter": separator, "quoteCharacter": '"'})
+    parser = {"parser": docs.MULTILINE_PARSER} if spanning else {}
+    return docs.to_document(schema, "csv", text_parser={"fieldDelimiter": separator, "quoteCharacter": '"', **parser})
+
+
+def _types_of_records(spark: SparkSession, records: DataFrame, separator: str) -> T.StructType:
+    """The types Spark infers from all records, in as many tasks as there are parts, under the names of the first header.
+
+    Records are written a line each, which changes no type: a value with a line break is a string, and one with a space
+    in its place is too.
+    """
+    folder = fresh_dir(spark, "records")
+    records.where("NOT __leading").select(F.regexp_replace("value", "[\r\n]+", " ").alias("value")).write.text(folder)
+    kinds = spark.read.options(inferSchema="true", sep=separator).csv(folder).schema
+    header = records.where("__leading").orderBy("__file").first()["value"]
+    names = spark.range(1).select(F.from_csv(F.lit(header), ", ".join(f"c{i} string" for i in range(len(kinds) or 1)), {"sep": separator, "multiLine": "true"}).alias("h"))
+    names = list(names.select("h.*").first())
+    return T.StructType([T.StructField(name or f"_c{i}", f.dataType) for i, (name, f) in enumerate(zip(names, kinds, strict=True))])
