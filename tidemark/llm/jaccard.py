@@ -268,10 +268,16 @@ class _Join:
     def __init__(self, texts: DataFrame, nodes: DataFrame, low: DataFrame, shingle: int, percent: int) -> None:
         self.texts, self.nodes, self.low, self.shingle, self.percent = texts, nodes, low, shingle, percent
 
+    def low_of(self, nodes: DataFrame) -> DataFrame:
+        """Low tokens of distinct nodes; those of other nodes are left out before anything is shuffled."""
+        return self.low.join(bounded_side(nodes, "wanted"), "node", "left_semi")
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """Of distinct (a, b) those similar enough: first by their low tokens, then by all."""
-        left = self.low.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("low").alias("la"))
-        right = self.low.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("low").alias("lb"))
+        left = self.low_of(pairs.select(F.col("a").alias("node")).distinct())
+        right = self.low_of(pairs.select(F.col("b").alias("node")).distinct())
+        left = left.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("low").alias("la"))
+        right = right.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("low").alias("lb"))
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "la", "lb")
         near = stored(both.mapInArrow(_near_by_low(self.percent), "a long, b long"), "near")
         needed = near.select(F.col("a").alias("node")).union(near.select(F.col("b").alias("node"))).distinct()
@@ -338,9 +344,10 @@ def similar_groups(
     matrix = stored(matrix.agg(F.min("n").alias("least_n"), F.max("n").alias("most_n")), "matrix")
     fits = (F.col("cls") < F.col("to")) & (100 * F.col("most_n") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("least_n"))
     meets = stored(open_query.join(matrix, "token").filter(fits).select("node", "n", F.col("to").alias("cls"), "part").distinct(), "meets")
-    unions = meets.select("cls", "part").distinct().join(members.select("node", "cls", "part"), ["cls", "part"])
-    unions = unions.join(low.select("node", "low"), "node").groupBy("cls", "part").agg(F.collect_list("low").alias("lows"))
-    checked = meets.join(unions, ["cls", "part"]).join(low.select("node", "low"), "node")
+    grouped = stored(members.join(meets.select("cls", "part").distinct(), ["cls", "part"]).select("node", "cls", "part"), "grouped")
+    unions = join.low_of(grouped.select("node")).select("node", "low").join(grouped, "node").groupBy("cls", "part").agg(F.collect_list("low").alias("lows"))
+    # the unions come last: they are the widest rows, and are shuffled once
+    checked = meets.join(join.low_of(meets.select("node").distinct()).select("node", "low"), "node").join(unions, ["cls", "part"])
     opened = checked.select("node", "cls", "part", "n", "low", "lows").mapInArrow(_opens(percent), "node long, cls long, part long")
     inside = opened.join(members.select(F.col("node").alias("b"), F.col("n").alias("m"), "cls", "part"), ["cls", "part"])
     inside = inside.join(members.select("node", "n"), "node").filter(_sizes_allow("n", "m", percent))
