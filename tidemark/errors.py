@@ -62,6 +62,10 @@ class FileAlreadyExistsError(TidemarkError):
     pass
 
 
+class CommitConflictError(TidemarkError):
+    """Another writer committed changes to the same files first."""
+
+
 class InvalidCacheKeyError(TidemarkError):
     pass
 

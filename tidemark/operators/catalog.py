@@ -65,9 +65,10 @@ def imports_by_type(imports: DataFrame, import_type: str | None = None) -> DataF
 def resolve_path(paths: DataFrame, resources: DataFrame, path: str = "path") -> DataFrame:
     """All resources on the way to each path, outermost first (``depth`` from 1)."""
     steps = paths.select(path, F.posexplode(ancestors(F.col(path))).alias("depth", "step"))
-    return steps.join(resources.select(F.col("path").alias("step"), "rid"), "step").select(
-        path, (F.col("depth") + 1).alias("depth"), "step", "rid"
-    )
+    # distinct steps are looked up once: of a root folder that all paths begin with there is one row, not one for each path
+    known = steps.select("step").distinct().join(resources.select(F.col("path").alias("step"), "rid"), "step")
+    found = steps.join(measured_side(known, "steps"), "step")
+    return found.select(path, (F.col("depth") + 1).alias("depth"), "step", "rid")
 
 
 def sort_order(spec: str | None) -> list[Column]:
@@ -82,10 +83,17 @@ def sort_order(spec: str | None) -> list[Column]:
 
 
 def _past(column: str, descending: bool, after: tuple) -> Column:
-    """True for rows behind ``after`` = (sort value, rid) when sorted by the column and then by rid."""
+    """True for rows behind ``after`` = (sort value, rid) when sorted by the column and then by rid.
+
+    As Spark sorts, rows without a value come first in ascending order and last in descending order.
+    """
     key, (value, rid) = F.col(column), after
-    beyond = key < F.lit(value) if descending else key > F.lit(value)
-    return beyond | ((key == F.lit(value)) & (F.col("rid") > rid))
+    if column == "rid":
+        return key < F.lit(rid) if descending else key > F.lit(rid)
+    same = key.eqNullSafe(F.lit(value)) & (F.col("rid") > rid)
+    if value is None:
+        return same if descending else same | key.isNotNull()
+    return same | (key.isNull() | (key < F.lit(value)) if descending else F.coalesce(key > F.lit(value), F.lit(False)))
 
 
 def list_children(

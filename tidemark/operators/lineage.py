@@ -17,6 +17,8 @@ from tidemark.session import materialize, measured_side
 RUNS_PER_CHECK = 5
 # Rounds of a closure kept as tables of their own before they become one.
 ROUNDS_APART = 8
+# Hops that one round follows while the newest nodes are at most so many: long thin chains would need a job for each hop.
+HOPS, NARROW = 3, 100_000
 
 
 def closure(
@@ -29,28 +31,32 @@ def closure(
 ) -> DataFrame:
     """Nodes reachable from seeds(node) along source → target, seeds included; ignored nodes are not entered.
 
-    Each round follows the edges of the newest nodes only and writes what it found as a table, so the lineage
-    stays one round deep and a lost executor costs at most that round. The frontier has one row per node and a
-    known size: Catalyst broadcasts it when small, and splits a hub's edges by the skew-join rule when not. Visited
-    nodes are not entered again, so the rounds end by themselves; every few rounds they are folded into one table.
+    Each round follows the edges of the newest nodes only, some hops at once while these are few, and writes what it
+    found as a table, so the lineage stays one round deep and a lost executor costs at most that round. The frontier has
+    one row per node and a known size: Catalyst broadcasts it when small, and splits a hub's edges by the skew-join rule
+    when not. Visited nodes are not entered again, so the rounds end by themselves; every few rounds they are folded into
+    one table.
     """
     links = edges.select(F.col(source).alias("node"), F.col(target).alias("next"))
 
-    def fresh(nodes: DataFrame, seen: DataFrame | None) -> DataFrame:
-        nodes = nodes.distinct()
-        for known in (ignore, seen):
-            if known is not None:
-                nodes = nodes.join(known.select("node"), "node", "left_anti")
-        return nodes
+    def without(nodes: DataFrame, known: DataFrame | None) -> DataFrame:
+        return nodes if known is None else nodes.join(known.select("node"), "node", "left_anti")
 
-    frontier, found = materialize(fresh(seeds.select("node"), None), "closure")
+    frontier, found = materialize(without(seeds.select("node").distinct(), ignore), "closure")
     rounds = [frontier]
     while found:
         if len(rounds) > ROUNDS_APART:
             rounds = [materialize(reduce(DataFrame.union, rounds), "closure")[0]]
-        step = links.join(frontier, "node", "left_semi").select(F.col("next").alias("node"))
-        frontier, found = materialize(fresh(step, reduce(DataFrame.union, rounds)), "closure")
-        rounds.append(frontier)
+        seen, step, hops = reduce(DataFrame.union, rounds), frontier, []
+        for hop in range(1, (HOPS if found <= NARROW else 1) + 1):
+            step = without(links.join(step, "node", "left_semi").select(F.col("next").alias("node")).distinct(), ignore)
+            hops.append(step.withColumn("hop", F.lit(hop)))
+        new = without(reduce(DataFrame.union, hops).groupBy("node").agg(F.min("hop").alias("hop")), seen)
+        table, _ = materialize(new, "closure")
+        rounds.append(table.select("node"))
+        # nodes found before the last hop were followed in it
+        frontier = table.where(F.col("hop") == len(hops)).select("node")
+        found = frontier.count()
     return reduce(DataFrame.union, rounds)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import is_hidden, under
 from tidemark.operators.views import (
@@ -16,21 +17,25 @@ from tidemark.operators.views import (
 )
 
 
-GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+# From so many rows a key on Spark no longer cuts windows off before their shuffle, and rows are spread over so many parts.
+GROUP_LIMIT, SPREAD = 1000, 64
 
 
 def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str = "rank") -> DataFrame:
     """First ``n`` rows of each key in ``order``, with their 1-based rank.
 
     The ``rank <= n`` filter makes Spark keep at most ``n`` rows per key in each map task before the shuffle
-    (window group limit), so a hot key never reaches one task as a whole. Spark does so below a threshold of the
-    session only, which is raised for larger pages.
+    (window group limit), so a hot key never reaches one task as a whole. Spark does so for small ``n`` only; for
+    larger pages the rows of a key are first cut to ``n`` in each of several parts, so that at most ``SPREAD`` times ``n``
+    of them meet.
     """
-    conf = df.sparkSession.conf
-    if n >= int(conf.get(GROUP_LIMIT, "1000")):
-        conf.set(GROUP_LIMIT, str(n + 1))
     window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n)
+    if n < GROUP_LIMIT:
+        return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n)
+    part = F.pmod(F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]), F.lit(SPREAD))
+    spread = Window.partitionBy(*keys, "__part").orderBy(*order)
+    cut = df.withColumn("__part", part).withColumn(rank, F.row_number().over(spread)).where(F.col(rank) <= n).drop("__part")
+    return cut.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n)
 
 
 def last_transactions(transactions: DataFrame, *, include_open: bool = False, keys: list[str] = KEY) -> DataFrame:

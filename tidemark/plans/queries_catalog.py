@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import catalog, transactions
 from tidemark.plans import derived as d
 from tidemark.plans.registry import query
+from tidemark.plans.store import Store
 
 
 @query(f"""WITH {d.LOG}, last AS (SELECT rid, max(seq) AS seq FROM log WHERE {d.COMMITTED} GROUP BY rid),
@@ -79,9 +80,57 @@ def search_resources(spark, sf):
     return found.select("rid", "path", "name")
 
 
-@query(f"WITH {d.RESOURCES} SELECT rid, path FROM res WHERE trashed")
+@query("""WITH hits AS (SELECT c_mktsegment AS segment, count(*) AS members FROM customer GROUP BY c_mktsegment)
+SELECT '/segments/' || segment AS path, members, members % 2 = 1 AS trashed FROM hits""")
 def trashed_datasets(spark, sf):
-    return d.resources(spark, sf).where("trashed").select("rid", "path")
+    """A dataset for each market segment, those with an odd number of members moved to the trash, one moved there and back."""
+    store = Store(spark)
+    sizes = d.table(spark, sf, "customer").groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count(F.lit(1)).alias("members")).collect()
+    for segment, members in sizes:
+        ds = store.create_dataset(f"/segments/{segment}")
+        ds.save_dataframe(d.table(spark, sf, "customer").where(F.col("c_mktsegment") == segment).select("c_custkey"))
+        store.set_trashed(ds.rid, True)
+        if members % 2 == 0:
+            store.set_trashed(ds.path, False)
+    known = spark.createDataFrame([(f"/segments/{segment}", members) for segment, members in sizes], "path string, members bigint")
+    return store.datasets().join(known, "path").select("path", "members", "trashed")
+
+
+@query("""SELECT CAST(c_custkey AS BIGINT) AS rid, CASE WHEN c_custkey % 3 > 0 THEN c_name END AS name, direction
+FROM customer, (SELECT unnest(['ASC', 'DESC']) AS direction) d WHERE c_custkey % 50 < 2""")
+def search_null_names(spark, sf):
+    """All pages of a search in which a third of the names are missing, in both directions."""
+    key = F.col("c_custkey").cast("long")
+    named = d.table(spark, sf, "customer").where(key % 50 < 2).select(key.alias("rid"), F.when(key % 3 > 0, F.col("c_name")).alias("name"))
+    rows = [
+        (r["rid"], r["name"], direction)
+        for direction in ("ASC", "DESC")
+        for page in catalog.search_pages(named, sort=("NAME", direction), page_size=max(2, named.count() // 6))
+        for r in page
+    ]
+    return spark.createDataFrame(rows, "rid bigint, name string, direction string")
+
+
+@query("""WITH kids AS (SELECT '/' || c_mktsegment AS folder, CAST(c_custkey AS BIGINT) AS rid, CASE WHEN c_custkey % 4 > 0 THEN c_custkey % 30 END AS modified
+  FROM customer), ranked AS (SELECT *, row_number() OVER (PARTITION BY folder ORDER BY modified NULLS FIRST, rid) AS n FROM kids)
+SELECT folder, rid, CAST(n - 2 * (c // 3) AS INT) AS position FROM ranked JOIN (SELECT folder AS f, count(*) AS c FROM kids GROUP BY folder) s ON s.f = folder
+WHERE n > 2 * (c // 3) AND n <= 3 * (c // 3)""")
+def children_null_dates(spark, sf):
+    """The third page of every folder's children by date, a quarter of which have none."""
+    key = F.col("c_custkey").cast("long")
+    children = d.table(spark, sf, "customer").select(
+        d.text("/", F.col("c_mktsegment"), "/", key).alias("path"), key.alias("rid"), F.when(key % 4 > 0, key % 30).alias("last_modified")
+    )
+    found = None
+    for folder, size in children.groupBy(F.substring_index("path", "/", 2)).count().collect():
+        after = None
+        for _ in range(3):
+            page = catalog.list_children(children, sort="lastModified", limit=size // 3, folder=folder, after=after)
+            last = page.orderBy(F.col("position").desc()).first()
+            after = (last["last_modified"], last["rid"])
+        page = page.select("folder", "rid", "position")
+        found = page if found is None else found.unionAll(page)
+    return found
 
 
 @query("""SELECT event_id, event_type, user_id FROM events WHERE event_type IN ('click', 'error') AND event_id > 100

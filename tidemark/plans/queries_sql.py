@@ -42,9 +42,10 @@ def filter_pushdown(spark, sf):
     return orders.where("o_orderstatus = 'F' AND o_totalprice > 300000").select("o_orderkey", "o_totalprice")
 
 
-@query("SELECT p_partkey, p_name, 'replaced' AS col1 FROM part")
+@query("SELECT p_partkey, p_name, 'catalogue' AS origin, p_size * 10 AS millimetres FROM part")
 def project_literal(spark, sf):
-    return d.dataset(spark, sf, "part").dataframe().withColumn("col1", F.lit("replaced")).select("p_partkey", "p_name", "col1")
+    parts = d.dataset(spark, sf, "part").dataframe()
+    return parts.select("p_partkey", "p_name", F.lit("catalogue").alias("origin"), (F.col("p_size") * 10).alias("millimetres"))
 
 
 @query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity > 45 AND l_returnflag = 'R'")
@@ -114,8 +115,18 @@ def sql_topk(spark, sf):
     return _sql(spark, sf, _TOPK.format("`/tpch/orders`"), "orders")
 
 
-@query("""SELECT '["' || c_custkey || '","' || c_name || '","' || c_mktsegment || '"]' AS row FROM customer""")
+@query("""SELECT c_nationkey AS nation, count(*) AS customers, min(c_name) AS first_name, 'c_nationkey INTEGER, customers LONG, first_name STRING' AS fields
+FROM customer GROUP BY c_nationkey""")
 def sql_raw_rows(spark, sf):
+    """Raw delivery, a schema document and a matrix of rows, of a result that is small whatever the scale."""
+    text = "SELECT c_nationkey, count(*) AS customers, min(c_name) AS first_name FROM `/tpch/customer` GROUP BY c_nationkey"
+    doc, rows = writers.deliver(_sql(spark, sf, text, "customer"), "raw")
+    fields = ", ".join(f"{f['name']} {f['type']}" for f in doc["fieldSchemaList"])
+    return spark.createDataFrame([(*row, fields) for row in rows], "nation int, customers bigint, first_name string, fields string")
+
+
+@query("SELECT '[\"' || c_custkey || '\",\"' || c_name || '\",\"' || c_mktsegment || '\"]' AS row FROM customer")
+def sql_json_rows(spark, sf):
     rows = _sql(spark, sf, "SELECT c_custkey, c_name, c_mktsegment FROM `/tpch/customer`", "customer")
     return rows.select(writers.json_row([F.col(c) for c in rows.columns]).alias("row"))
 
@@ -167,12 +178,25 @@ def column_stats_approx(spark, sf):
     return stats.column_stats_approx(d.table(spark, sf, "orders"))
 
 
-@query("SELECT least(5000, count(*)) AS n FROM lineitem")
+SAMPLED = """SELECT least(5000, count(*)) AS n, least(5000, count(*)) AS found, least(5000, count(*)) AS different FROM lineitem"""
+
+
+def _judged(sample, rows):
+    """Sampled rows, how many of them the table holds with all their values, and how many differ."""
+    same = rows.select(*rows.columns).distinct().withColumn("there", F.lit(1))
+    found = sample.join(same, rows.columns, "left")
+    return found.agg(F.count(F.lit(1)).alias("n"), F.count("there").alias("found"), F.countDistinct(*rows.columns).alias("different"))
+
+
+@query(SAMPLED)
 def sample_limit_count(spark, sf):
-    return stats.sample_first(d.dataset(spark, sf, "lineitem").dataframe(), 5000).agg(F.count(F.lit(1)).alias("n"))
+    """The first 5000 rows are whole rows of the table, none twice."""
+    rows = d.dataset(spark, sf, "lineitem").dataframe()
+    return _judged(stats.sample_first(rows, 5000), rows)
 
 
-@query("SELECT least(5000, count(*)) AS n FROM lineitem")
+@query(SAMPLED)
 def sample_random_count(spark, sf):
-    drawn = stats.sample_random(d.dataset(spark, sf, "lineitem").dataframe(), 5000)
-    return drawn.agg(F.count(F.lit(1)).alias("n"))
+    """5000 rows drawn at random are whole rows of the table, none twice."""
+    rows = d.dataset(spark, sf, "lineitem").dataframe()
+    return _judged(stats.sample_random(rows, 5000), rows)

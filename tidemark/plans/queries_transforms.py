@@ -22,8 +22,7 @@ from tidemark.plans.transforms import (
     transform_pandas,
 )
 from tidemark.session import fresh_dir
-from tidemark.streaming import new_rows, route_objects, tail_log
-from tidemark.streaming.incremental import append_by_batch
+from tidemark.streaming import route_objects, stream_rows, tail_log
 
 
 def _context(spark, sf, *tables: str) -> Context:
@@ -171,11 +170,15 @@ def stream_incremental_rows(spark, sf):
     first = F.col("event_type").isin("click", "error")
     source = Store(spark).create_dataset("/in/events").save_dataframe(events.where(first), "SNAPSHOT")
     target, checkpoint = fresh_dir(spark, "rows"), fresh_dir(spark, "offsets")
-    new_rows(source, append_by_batch(f"{target}/run=0"), checkpoint)
+
+    def run(number: int) -> None:
+        rows = stream_rows(source).withColumn("run", F.lit(number)).writeStream.option("checkpointLocation", checkpoint)
+        rows.format("parquet").option("path", target).partitionBy("run").trigger(availableNow=True).start().awaitTermination()
+
+    run(0)
     source.save_dataframe(events.where(~first), "APPEND")
-    new_rows(source, append_by_batch(f"{target}/run=1"), checkpoint)
-    read = spark.read.option("basePath", target).parquet(f"{target}/*")
-    return read.groupBy("event_type", "run").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+    run(1)
+    return spark.read.parquet(target).groupBy("event_type", "run").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
 
 
 @query(PARSED_LINES.replace("SELECT event_id,", "SELECT", 1))

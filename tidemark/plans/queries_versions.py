@@ -192,13 +192,27 @@ def list_files_prefix(spark, sf):
     return views.pick_logical_path(views.view_files(d.event_log(spark, sf)), "_log")
 
 
-@query(f"""WITH {d.LOG}, {d.view_sql()}, p AS (SELECT *, row_number() OVER (PARTITION BY rid, branch ORDER BY path) AS n,
-  lead(path, 5) OVER (PARTITION BY rid, branch ORDER BY path) AS ahead FROM vf WHERE path >= 'spark/part-10.parquet')
-SELECT rid, branch, path, seq, length, CAST(n AS INT) AS position,
-  max(CASE WHEN n = 1 THEN ahead END) OVER (PARTITION BY rid, branch) AS next_page_token FROM p QUALIFY n <= 5""")
+@query("""WITH f AS (SELECT 'ds' || o_custkey % 3 AS rid, 'master' AS branch, 'spark/part-' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS path,
+  o_orderkey AS seq, CAST(floor(o_totalprice) AS BIGINT) AS length FROM orders WHERE o_orderstatus <> 'P'),
+p AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY path) AS n, lead(path, 1000) OVER (PARTITION BY rid ORDER BY path) AS ahead
+  FROM f WHERE path >= 'spark/part-000000001000')
+SELECT rid, branch, path, seq, length, CAST(n AS INT) AS position, max(CASE WHEN n = 1 THEN ahead END) OVER (PARTITION BY rid) AS next_page_token
+FROM p QUALIFY n <= 1000""")
 def list_files_page(spark, sf):
-    files = views.view_files(d.event_log(spark, sf))
-    return catalog.file_page(files, page_size=5, start_path="spark/part-10.parquet")
+    """A page of a thousand of each view's files; every order is a file, and those pending were deleted again."""
+    orders, key = d.table(spark, sf, "orders"), F.col("o_orderkey")
+    put = orders.select(
+        d.text("ds", F.col("o_custkey") % 3).alias("rid"),
+        F.lit("master").alias("branch"),
+        key.alias("seq"),
+        F.lit("APPEND").alias("type"),
+        F.lit("COMMITTED").alias("status"),
+        F.concat(F.lit("spark/part-"), F.lpad(key.cast("string"), 12, "0")).alias("path"),
+        F.floor("o_totalprice").cast("bigint").alias("length"),
+    )
+    gone = put.join(orders.where("o_orderstatus = 'P'").select(key.alias("seq")), "seq", "left_semi").select(*put.columns)
+    log = put.unionByName(gone.withColumns({"type": F.lit("DELETE"), "seq": F.col("seq") + 1_000_000_000}))
+    return catalog.file_page(views.view_files(log), page_size=1000, start_path="spark/part-000000001000")
 
 
 @query(f"""WITH {d.LOG}, {d.view_sql()} SELECT {FILES} FROM vf WHERE path IN (SELECT 'spark/part-' || p_size || '.parquet' FROM part)""")

@@ -56,12 +56,16 @@ def deep_forks(spark, sf):
     return branches.branch_lineage(known).groupBy(F.col("branch").cast("long").alias("branch")).agg(F.count(F.lit(1)).alias("sources"))
 
 
-@query("SELECT DISTINCT CAST(n_nationkey AS BIGINT) AS node FROM nation")
+@query("SELECT CAST(p_partkey AS BIGINT) AS node FROM part WHERE p_partkey % 30 <= 29 - (p_partkey // 30) % 7 * 3")
 def lineage_long_chain(spark, sf):
-    key = F.col("n_nationkey").cast("long")
-    edges = d.table(spark, sf, "nation").select(key.alias("child"), (key - 1).alias("parent")).where("parent >= 0")
-    last = edges.agg(F.max("child").alias("node"))
-    return lineage.upstream(edges, last)
+    """Chains of thirty parts each; what the last part of a chain, or one up to eighteen before it, was built from."""
+    key = F.col("p_partkey").cast("long")
+    parts = d.table(spark, sf, "part").select(key.alias("child"))
+    edges = parts.where("child % 30 > 0").select("child", (F.col("child") - 1).alias("parent"))
+    # the last chain may be cut short by the end of the table
+    begin = 29 - F.expr("child div 30 % 7") * 3
+    starts = parts.where(F.col("child") % 30 <= begin).groupBy(F.expr("child div 30")).agg(F.max("child").alias("node")).select("node")
+    return lineage.upstream(edges, starts)
 
 
 @query("SELECT CAST(c_custkey AS BIGINT) AS rid, c_name AS name FROM customer WHERE contains(lower(c_name), 'customer')")
@@ -154,14 +158,15 @@ def transform_configured(spark, sf):
 
     spread.build(Context(store))
     out = store.dataset("/spread")
-    return out.dataframe().agg(F.count(F.lit(1)).alias("n")).join(out.files().agg(F.count(F.lit(1)).alias("files")))
+    rows = out.dataframe().agg(F.count(F.lit(1)).alias("n"))
+    return rows.select(out.files().agg(F.count(F.lit(1))).scalar().alias("files"), "n")
 
 
-@query("SELECT r_regionkey AS key, r_name AS name FROM region")
+@query("SELECT o_orderkey AS key, o_orderstatus AS status, o_totalprice AS price FROM orders")
 def cache_partial_write(spark, sf):
-    region = d.table(spark, sf, "region").select(F.col("r_regionkey").alias("key"), F.col("r_name").alias("name"))
-    dataset = Store(spark).create_dataset("/region").save_dataframe(region)
+    orders = d.table(spark, sf, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"))
+    dataset = Store(spark).create_dataset("/orders").save_dataframe(orders)
     cache = VersionCache(spark)
     key = {**dataset.identity(), "branch": dataset.branch}
-    region.where("key = 0").write.parquet(f"{cache.location(key)}/spark")  # a write that was cut short
+    orders.where("key % 3 = 0").write.parquet(f"{cache.location(key)}/spark")  # a write that was cut short
     return cache.load(dataset)

@@ -1,10 +1,10 @@
 """Versioned datasets on a shared file system.
 
 Layout below the root: ``<rid>/__txn=<transaction>/__folder=<top folder>/...`` holds the files of one transaction,
-named like partitions so that one scan covers many transactions; ``_log/<table>`` are append-only parquet tables:
-datasets, branches, transactions, files, schemas. Files are written first, their manifest rows
+named like partitions so that one scan covers many transactions; the log (see ``logs``) are append-only tables with
+checkpoints: datasets, branches, transactions, files, schemas. Files are written first, their manifest rows
 next and the committed transaction row last; readers go by the log alone, so an unfinished transaction is never
-seen. One writer per dataset is assumed.
+seen. Every commit takes the next slot of its dataset, which one writer gets: see ``Dataset.commit_transaction``.
 
 Everything about files is a DataFrame job on the manifest. Only names go through the driver: a handful of log
 rows of one dataset, and the folders (or, where a folder is partly replaced, the files) a scan has to list.
@@ -12,7 +12,6 @@ rows of one dataset, and the folders (or, where a folder is partly replaced, the
 
 from __future__ import annotations
 
-import io
 import json
 import re
 import time
@@ -24,16 +23,15 @@ from datetime import UTC, datetime
 
 import pandas as pd
 import pyarrow as pa
-import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark import errors
 from tidemark.functions import is_hidden
 from tidemark.operators import branches as branch_ops
 from tidemark.operators import catalog, stats, transactions, views
+from tidemark.plans.logs import CHECKPOINT_EVERY, Log, local_table
 from tidemark.session import fresh_dir
 from tidemark.sources import files as fsio
 from tidemark.sources import readers, writers
@@ -45,6 +43,12 @@ DEFAULT_TYPE = "APPEND"
 # Transactions of a dataset kept at hand on the driver; older ones are asked for in the log.
 RECENT = 1000
 
+# Answers a store keeps, the least used ones go.
+REMEMBERED = 512
+
+# Times a commit is tried again after another writer took its slot.
+TRIES = 1000
+
 # Fixed value: the folder readers expect the files of a written frame in.
 DATA_FOLDER = "spark"
 
@@ -64,68 +68,53 @@ BY_DATASET = {"branches", "transactions", "files", "schemas"}
 _RID = re.compile(r"^ri\.[^.]+\.[^.]*\.dataset\.")
 
 
-def local_table(rows: list[tuple], schema: str) -> pa.Table:
-    fields = T.StructType.fromDDL(schema)
-    arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in fields])
-    return pa.Table.from_pylist([dict(zip(fields.names, r, strict=True)) for r in rows], arrow)
-
-
 def local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """Frame of a few driver rows, planned as a local table (one task, no Python worker)."""
     return spark.createDataFrame(local_table(rows, schema), T.StructType.fromDDL(schema))
 
 
+def newest_rows(table: str, rows: DataFrame) -> DataFrame:
+    """The rows of a log table that a checkpoint has to keep: of a transaction or branch the newest state."""
+    key = {"transactions": ["rid", "branch", "seq", "txn"], "branches": ["rid", "branch"]}.get(table)
+    if key is None:
+        return rows
+    rest = [c for c in rows.columns if c not in key and c != "event"]
+    newest = rows.groupBy(*key).agg(F.max(F.struct("event", *rest)).alias("now"))
+    return newest.select(*[c if c in key else F.col(f"now.{c}").alias(c) for c in rows.columns])
+
+
 class Store:
-    def __init__(self, spark: SparkSession, root: str | None = None, service: str = "catalog"):
+    def __init__(self, spark: SparkSession, root: str | None = None, service: str = "catalog", *, checkpoint_every: int = CHECKPOINT_EVERY):
         self.spark = spark
         self.root = fsio.qualify(root or fresh_dir(spark, "store")).rstrip("/")
         self.service = service
-        self._clock = 0
+        self.logs = Log(spark, self.root, TABLES, BY_DATASET, checkpoint_every)
         self._memo: dict = {}
 
     # -- log ---------------------------------------------------------------------------------------------
 
     def tick(self) -> int:
-        """A number above all before it: microseconds, raised where the clock stands still."""
-        self._clock = max(self._clock + 1, time.time_ns() // 1000)
-        return self._clock
+        return self.logs.tick()
 
     def log_path(self, table: str) -> str:
-        return f"{self.root}/_log/{table}"
+        return self.logs.path(table)
 
     def log(self, table: str, rid: str | None = None) -> DataFrame:
-        """A log table; with ``rid`` only that dataset's folder is listed and read."""
-        base = self.log_path(table)
-        path = f"{base}/rid={rid}" if rid and table in BY_DATASET else base
-        if not fsio.exists(path):
-            return self.spark.createDataFrame([], TABLES[table])
-        frame = self.spark.read.schema(TABLES[table]).option("basePath", base).parquet(path)
-        return frame if rid is None else frame.where(F.col("rid") == rid)
-
-    def append(self, table: str, rows: list[tuple] | DataFrame, rid: str | None = None) -> None:
-        """Add rows (of one dataset, where the table is kept by dataset).
-
-        A frame is written by Spark; the row or two that a step of a transaction logs are one file from the driver.
-        """
-        by_dataset = table in BY_DATASET
-        if isinstance(rows, DataFrame):
-            path = self.log_path(table) + (f"/rid={rid}" if by_dataset else "")
-            (rows.drop("rid") if by_dataset else rows).write.mode("append").parquet(path)
-            return
-        path = self.log_path(table) + (f"/rid={rows[0][0]}" if by_dataset else "")
-        logged, out = local_table(rows, TABLES[table]), io.BytesIO()
-        pq.write_table(logged.drop_columns("rid") if by_dataset else logged, out)
-        fsio.publish(f"{path}/{self.tick():020d}-{uuid.uuid4().hex}.parquet", out.getvalue())
+        return self.logs.read(table, rid)
 
-    def remembered(self, key: tuple, tables: list[str], rid: str | None, compute: Callable):
-        """``compute()``, or its last result while no file was added to the given logs since.
+    def append(self, table: str, rows: list[tuple] | DataFrame, rid: str | None = None) -> str:
+        return self.logs.append(table, rows, rid)
 
-        Logs only ever grow by files, so their number and size tell whether an answer still holds.
-        """
-        state = tuple(fsio.fingerprint(f"{self.log_path(t)}/rid={rid}" if rid else self.log_path(t)) for t in tables)
-        if key not in self._memo or self._memo[key][0] != state:
-            self._memo[key] = (state, compute())
-        return self._memo[key][1]
+    def remembered(self, key: tuple, tables: list[str], rid: str | None, compute: Callable):
+        """``compute()``, or its last result while the given logs have not changed since; the latest answers are kept."""
+        state = tuple(self.logs.state(t, rid) for t in tables)
+        found = self._memo.pop(key, None)
+        if found is None or found[0] != state:
+            found = (state, compute())
+        self._memo[key] = found
+        while len(self._memo) > REMEMBERED:
+            del self._memo[next(iter(self._memo))]
+        return found[1]
 
     # -- catalog -----------------------------------------------------------------------------------------
 
@@ -227,15 +216,15 @@ class Store:
 class UnitOfWork:
     """A block of writes to a dataset. Only a transaction that the block began ends with it."""
 
-    def __init__(self, dataset: Dataset, kind: str | None, abort_on_error: bool):
-        self.dataset, self.kind, self.abort_on_error = dataset, kind, abort_on_error
+    def __init__(self, dataset: Dataset, kind: str | None, abort_on_error: bool, concurrent: bool = False):
+        self.dataset, self.kind, self.abort_on_error, self.concurrent = dataset, kind, abort_on_error, concurrent
         self.began = False
 
     def __enter__(self) -> dict:
-        joined = self.dataset._open or self.dataset.open_transaction()
+        joined = self.dataset._open or (None if self.concurrent else self.dataset.open_transaction())
         if joined is None:
             self.began = True
-            self.dataset.start_transaction(self.kind)
+            self.dataset.start_transaction(self.kind, concurrent=self.concurrent)
             return self.dataset.transaction
         self.dataset._open = joined
         if self.kind not in (None, joined["type"]):
@@ -245,7 +234,7 @@ class UnitOfWork:
     def __exit__(self, failure: type[BaseException] | None, *_: object) -> None:
         if self.began and failure is None:
             self.dataset.commit_transaction()
-        elif self.began and self.abort_on_error:
+        elif self.began and self.abort_on_error and self.dataset._open is not None:
             self.dataset.abort_transaction()
 
 
@@ -401,19 +390,26 @@ class Dataset:
             raise errors.DatasetHasNoOpenTransactionError(self.path)
         return self._open
 
-    def start_transaction(self, kind: str | None = None, *, record: dict | None = None) -> Dataset:
+    def start_transaction(self, kind: str | None = None, *, record: dict | None = None, concurrent: bool = False) -> Dataset:
+        """Open the one transaction of the branch, or with ``concurrent`` one of several that run side by side.
+
+        A concurrent transaction is not logged before its commit, where it gets its place behind all others.
+        """
         kind = kind or DEFAULT_TYPE
         if kind not in views.TRANSACTION_TYPES:
             raise ValueError(f"unknown transaction type {kind!r}")
         if self.is_trashed():
             raise errors.DatasetInTrashError(f"{self.path} is in the trash")
-        if self.open_transaction() is not None:
+        if self._open is not None or not concurrent and self.open_transaction() is not None:
             raise errors.DatasetHasOpenTransactionError(f"{self.path} on {self.branch}")
         seq = self.store.tick()
-        # the number is padded, so that transaction rids sort by time
-        opened = {"seq": seq, "txn": f"ri.{self.store.service}.main.transaction.{seq:020d}", "type": kind, "status": "OPEN"}
-        self._open = {**opened, "record": json.dumps(record or {})}
-        self._log_transaction("OPEN")
+        # the number is padded, so that transaction rids sort by time; concurrent ones may begin at the same moment
+        name = f"{seq:020d}-{uuid.uuid4().hex[:12]}" if concurrent else f"{seq:020d}"
+        opened = {"seq": seq, "txn": f"ri.{self.store.service}.main.transaction.{name}", "type": kind, "status": "OPEN"}
+        base = self.store.logs.last_slot(self.rid)
+        self._open = {**opened, "record": json.dumps(record or {}), "concurrent": concurrent, "base": base}
+        if not concurrent:
+            self._log_transaction("OPEN")
         return self
 
     def _log_transaction(self, status: str, *, provenance: dict | None = None, metadata: dict | None = None) -> None:
@@ -434,33 +430,84 @@ class Dataset:
         self.store.append("transactions", [row])
 
     def commit_transaction(self, *, provenance: dict | None = None, record: dict | None = None) -> Dataset:
-        """Publish the staged files, then the transaction; its file counts are observed on the way."""
+        """Publish the staged files, then the transaction; its file counts are observed on the way.
+
+        Commits of a dataset are numbered without gaps: each takes the next slot, which is created only if it is absent. A
+        transaction whose slot was taken by another looks at all that was committed since it began. What doesn't touch
+        the same files does not matter, and it tries the next slot; an UPDATE or DELETE of files that were changed, or
+        of a branch that got a new snapshot, is refused and aborted.
+        """
         if record is not None:
             self.transaction["record"] = json.dumps(record)
-        staged, metadata = self._staged(), None
-        if staged is not None:
-            hidden, seen = is_hidden(F.col("path")), Observation()
-            zero = F.lit(0).cast("bigint")
-            counts = (
-                F.count_if(~F.col("deleted")).alias("file_count"),
-                F.sum("length").alias("total_file_size"),
-                F.count_if(hidden & ~F.col("deleted")).alias("hidden_file_count"),
-                F.sum(F.when(hidden, F.col("length")).otherwise(zero)).alias("total_hidden_file_size"),
-            )
-            self.store.append("files", staged.observe(seen, *counts), self.rid)
-            metadata = seen.get
+        staged, logs, t = self._staged(), self.store.logs, self.transaction
+        checked = t.get("base")
+        for _ in range(TRIES):
+            last = logs.last_slot(self.rid)
+            between = logs.slots(self.rid, checked + 1, last) if checked is not None else []
+            self._refuse_conflicts(staged, [c for c in between if c["branch"] == self.branch and c["txn"] != t["txn"]])
+            checked = last
+            if t.get("concurrent"):  # its place is behind all that is committed
+                t["seq"] = max([self.store.tick(), *(c["seq"] + 1 for c in between)])
+            manifest, metadata = self._publish(staged)
+            slot = {"txn": t["txn"], "seq": t["seq"], "branch": self.branch, "type": t["type"], "manifest": manifest}
+            if logs.claim(self.rid, last + 1, slot):
+                break
+        else:
+            raise errors.CommitConflictError(f"{self.path}: no slot for a commit after {TRIES} tries")
+        if t.get("doc"):
+            self.store.append("schemas", [(self.rid, self.branch, t["seq"], t["doc"])])
         self._log_transaction("COMMITTED", provenance=provenance, metadata=metadata)
         self._open = None
+        logs.checkpoint_if_due(self.rid, newest_rows)
         return self
 
+    def _publish(self, staged: DataFrame | None) -> tuple[str | None, dict | None]:
+        """Manifest rows under the number of the transaction; they count only once it is committed under this number."""
+        if staged is None:
+            return None, None
+        hidden, seen = is_hidden(F.col("path")), Observation()
+        zero = F.lit(0).cast("bigint")
+        counts = (
+            F.count_if(~F.col("deleted")).alias("file_count"),
+            F.sum("length").alias("total_file_size"),
+            F.count_if(hidden & ~F.col("deleted")).alias("hidden_file_count"),
+            F.sum(F.when(hidden, F.col("length")).otherwise(zero)).alias("total_hidden_file_size"),
+        )
+        numbered = staged.withColumn("seq", F.lit(self.transaction["seq"]).cast("bigint"))
+        entry = self.store.append("files", numbered.observe(seen, *counts), self.rid)
+        return entry, seen.get
+
+    def _refuse_conflicts(self, staged: DataFrame | None, others: list[dict]) -> None:
+        """Abort if commits since the transaction began changed what it changes: a join of their manifests with its own."""
+        if self.transaction["type"] not in ("UPDATE", "DELETE") or not others:
+            return
+        snapshot = any(c["type"] == "SNAPSHOT" for c in others)
+        if not snapshot and staged is not None:
+            numbers = local_frame(self.spark, [(c["seq"], c["txn"]) for c in others], "seq bigint, txn string")
+            theirs = self.store.log("files", self.rid).join(numbers, ["seq", "txn"], "left_semi").select("path")
+            folder = F.regexp_replace("path", "[^/]+$", "")
+            # an UPDATE that takes files away has replaced folders, so new files in these count as well
+            gone = staged.where("deleted").select(folder.alias("at")).distinct() if self.transaction["type"] == "UPDATE" else None
+            hit = theirs.join(staged.select("path"), "path", "left_semi")
+            if gone is not None:
+                hit = hit.unionAll(theirs.withColumn("at", folder).join(gone, "at", "left_semi").select("path"))
+            if hit.isEmpty():
+                return
+        elif not snapshot:
+            return
+        names = [c["txn"] for c in others]
+        self.abort_transaction()
+        raise errors.CommitConflictError(f"{self.path}: files were changed by {names}")
+
     def abort_transaction(self) -> Dataset:
-        self._log_transaction("ABORTED")
+        if not self.transaction.get("concurrent"):
+            self._log_transaction("ABORTED")
         self._open = None
         return self
 
-    def transaction_context(self, kind: str | None = None, *, abort_on_error: bool = True) -> UnitOfWork:
+    def transaction_context(self, kind: str | None = None, *, abort_on_error: bool = True, concurrent: bool = False) -> UnitOfWork:
         """Run a block in the open transaction, or in a new one that is committed after it or aborted on error."""
-        return UnitOfWork(self, kind, abort_on_error)
+        return UnitOfWork(self, kind, abort_on_error, concurrent)
 
     # -- files of the open transaction -----------------------------------------------------------------------
 
@@ -592,6 +639,7 @@ class Dataset:
         partition_by: list[str] | None = None,
         replace_partitions: bool = False,
         options: dict | None = None,
+        concurrent: bool = False,
     ) -> Dataset:
         """Write a frame as one transaction, in parallel and straight into the dataset.
 
@@ -602,8 +650,8 @@ class Dataset:
         local = not isinstance(df, DataFrame)
         if local:
             df = self.spark.createDataFrame(df.to_arrow() if type(df).__module__.startswith("polars") else df).coalesce(1)
-        with self.transaction_context(kind) as t:
-            folder = str(time.time_ns() // 1_000_000) if kind == "APPEND" else DATA_FOLDER
+        with self.transaction_context(kind, concurrent=concurrent) as t:
+            folder = str(self.store.tick()) if kind == "APPEND" else DATA_FOLDER
             target = f"{self.folder()}/{readers.TOP_FOLDER}={folder}"
             writers.write_version(df, target, fmt=fmt, partition_by=partition_by, options=options)
             listed = fsio.list_frame(self.spark, target)
@@ -628,6 +676,9 @@ class Dataset:
     # -- schemas -----------------------------------------------------------------------------------------------
 
     def put_schema(self, doc: dict, seq: int) -> Dataset:
+        if self._open is not None and self._open.get("concurrent"):  # its number is not known before the commit
+            self._open["doc"] = json.dumps(doc)
+            return self
         self.store.append("schemas", [(self.rid, self.branch, seq, json.dumps(doc))])
         return self
 

@@ -23,6 +23,9 @@ SESSION_DEFAULTS = {
 # Rows up to which a measured join side is broadcast: far below what an executor holds for rows of a few columns.
 BROADCAST_ROWS = 1_000_000
 
+# Bytes on disk, compressed, up to which a measured join side is broadcast: some hundred MB in memory.
+BROADCAST_BYTES = 16 << 20
+
 _local_fallback: str | None = None
 
 
@@ -64,17 +67,25 @@ def materialize(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     Catalyst broadcasts it only when it is under ``spark.sql.autoBroadcastJoinThreshold``. The count is
     observed during the write, without a second job.
     """
+    table, rows, _ = _written(df, label)
+    return table, rows
+
+
+def _written(df: DataFrame, label: str) -> tuple[DataFrame, int, str]:
     path = fresh_dir(df.sparkSession, label)
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["n"]
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["n"], path
 
 
 def measured_side(df: DataFrame, label: str) -> DataFrame:
-    """A join side that is expected to be small, written out and counted before it is used.
+    """A join side that is expected to be small, written out and measured before it is used.
 
-    Up to ``BROADCAST_ROWS`` rows it is marked for broadcast, so the other side is not shuffled at all; beyond
-    that it is marked for a merge join, which AQE splits at skewed keys.
+    Up to ``BROADCAST_ROWS`` rows and ``BROADCAST_BYTES`` bytes it is marked for broadcast, so the other side is not
+    shuffled at all; beyond that it is marked for a merge join, which AQE splits at skewed keys.
     """
-    table, rows = materialize(df, label)
-    return F.broadcast(table) if rows <= BROADCAST_ROWS else table.hint("merge")
+    table, rows, path = _written(df, label)
+    context = df.sparkSession.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    size = folder.getFileSystem(context._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    return F.broadcast(table) if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else table.hint("merge")

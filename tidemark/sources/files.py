@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import io
+import os
 import re
+import uuid
 from collections.abc import Iterator
 from pathlib import Path
 from typing import IO, NamedTuple
@@ -114,9 +116,47 @@ def publish(uri: str, data: bytes) -> None:
     folder, _, name = uri.rpartition("/")
     hidden = f"{folder}/_{name}"
     write_bytes(hidden, data)
-    fs, source = hadoop(hidden)
-    if not fs.rename(source, hadoop(uri)[1]):
-        raise OSError(f"{hidden} could not be renamed to {name}")
+    rename(hidden, uri)
+
+
+def create_new(uri: str, data: bytes) -> bool:
+    """Create a file, whole at once, unless there is one of that name; whether it was created. Of several writers one succeeds.
+
+    The content is written under a hidden name and linked (on the driver's disk) or renamed to the name, neither of which
+    replaces a file that is there. The file system must not replace files on rename, as HDFS does not.
+    """
+    folder, _, name = uri.rpartition("/")
+    hidden = f"{folder}/_{uuid.uuid4().hex}-{name}"
+    write_bytes(hidden, data)
+    local = local_path(uri)
+    if local is None:
+        fs, source = hadoop(hidden)
+        target = hadoop(uri)[1]
+        if not fs.exists(target) and fs.rename(source, target):
+            return True
+        fs.delete(source, False)
+        return False
+    try:
+        os.link(local_path(hidden), local)
+    except FileExistsError:
+        return False
+    finally:
+        os.unlink(local_path(hidden))
+    return True
+
+
+def rename(source: str, target: str) -> None:
+    fs, path = hadoop(source)
+    if not fs.rename(path, hadoop(target)[1]):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
+def names(uri: str) -> list[str]:
+    """Names of the files and folders in a folder that are not hidden, sorted; none if it does not exist."""
+    fs, path = hadoop(uri)
+    if not fs.exists(path):
+        return []
+    return sorted(n for n in (s.getPath().getName() for s in fs.listStatus(path)) if n[0] not in "._")
 
 
 def read_bytes(uri: str) -> bytes:
@@ -205,11 +245,11 @@ class FileSystem:
 
     def ls(self, glob: str | None = None, regex: str = ".*", show_hidden: bool = False) -> Iterator[FileStatus]:
         """Files matching a glob (``**`` spans folders) and, from its start, a regular expression."""
-        pattern, hidden = re.compile(regex), re.compile(HIDDEN_PATTERN)
+        pattern, hidden, wanted = re.compile(regex), re.compile(HIDDEN_PATTERN), glob and re.compile(glob_to_regex(glob))
         for entry in self._entries():
             if not show_hidden and hidden.search(entry.path):
                 continue
-            if glob and not _glob_matches(entry.path, glob):
+            if wanted and not wanted.match(entry.path):
                 continue
             if pattern.match(entry.path):
                 yield entry
@@ -252,9 +292,3 @@ def glob_to_regex(glob: str) -> str:
         else:
             out, i = out + re.escape(glob[i]), i + 1
     return f"^{out}$"
-
-
-def _glob_matches(path: str, glob: str) -> bool:
-    if glob == "*/**":  # names everything, files at the top included
-        return True
-    return re.match(glob_to_regex(glob), path) is not None

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import route_key
-from tidemark.sources import files as fsio
 
 EVENT_SCHEMA = "Records array<struct<eventTime timestamp, s3 struct<object struct<key string, size bigint>>>>"
 
@@ -21,26 +20,28 @@ def routed(events: DataFrame) -> DataFrame:
     )
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def route_objects(spark: SparkSession, folder: str, output: str, checkpoint: str) -> None:
     """Route the events that arrived since the last run to ``output/batch=<n>``, then stop.
 
-    Events are delivered at least once. A key already routed is left out by comparing with the output itself, so
-    no event is lost for being late and none is routed twice; a batch that failed is replaced when repeated.
+    Events are delivered at least once. The keys routed so far are the state of the stream, kept by key in RocksDB and
+    saved by changes, so a batch looks up its own keys only and reads nothing of earlier output. There is no watermark: no
+    event is lost for being late, and none is routed twice. A batch that failed is replaced when repeated.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        fresh = routed(batch).dropDuplicates(["dataset", "path"])
-        if fsio.exists(output):
-            done = spark.read.parquet(output).where(F.col("batch") != number).select("dataset", "path")
-            fresh = fresh.join(done, ["dataset", "path"], "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{output}/batch={number}")
-
-    query = (
-        spark.readStream.schema(EVENT_SCHEMA)
-        .json(folder)
-        .writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+        batch.write.mode("overwrite").parquet(f"{output}/batch={number}")
+
+    events = spark.readStream.schema(EVENT_SCHEMA).json(folder)
+    fresh = routed(events).dropDuplicates(["dataset", "path"])
+    writer = fresh.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKSDB)  # a stream takes the setting when it starts
+    try:
+        query = writer.start()
+    finally:
+        spark.conf.set(STATE_STORE, before)
     query.awaitTermination()
