@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,8 +45,22 @@ def bounded_side(df: DataFrame, label: str) -> DataFrame:
     return F.broadcast(table) if rows <= BROADCAST_ROWS else table.hint("merge")
 
 
+# Physical operators that give the same rows in the same partitions and order each time.
+_STEADY = {"AdaptiveSparkPlan", "WholeStageCodegen", "InputAdapter", "ColumnarToRow", "Project", "Filter", "Union", "FileScan", "Scan", "LocalTableScan"}
+
+
+def settled(rows: DataFrame, label: str) -> DataFrame:
+    """``rows``, if they come straight from a scan, else stored: after a shuffle, limit or function rows can change their places.
+
+    Whoever reads places twice has to call this once before.
+    """
+    plan = rows._jdf.queryExecution().executedPlan().toString().splitlines()
+    operators = {found[1] for line in plan if "==" not in line and (found := re.match(r"[\s:+*()\d-]*([A-Za-z]+)", line))}
+    return rows if operators <= _STEADY else stored(rows, label)
+
+
 def placed(rows: DataFrame, name: str) -> DataFrame:
-    """``rows`` with their place (partition and position) as a number in column ``name``.
+    """``rows`` (``settled`` ones) with their place (partition and position) as a number in column ``name``.
 
     Rows read from files are cut into as many partitions as the cores of the moment suggest, so a scan planned after an
     executor was lost would give other places. The number is therefore settled in the session the first time.

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.base import documents, placed, stored, utf8
+from tidemark.llm.base import documents, placed, settled, stored, utf8
 
 FIT_BYTES = 48 << 20  # of distinct content in one table
 FAN_OUT_BITS = 4
@@ -222,8 +222,9 @@ def groups(rows: DataFrame, text: str = "text", key: str = "doc_id", fit_bytes:
 def distinct_rows(rows: DataFrame, text: str = "text", key: str = "doc_id", fit_bytes: int = FIT_BYTES) -> DataFrame:
     """The rows that stay, with all their columns: one for each text. Cases as in ``groups``.
 
-    Rows are found again by their place, so they must come from files, which give the same places each time.
+    Rows are found again by their place; those that don't come straight from a scan are stored first.
     """
+    rows = settled(rows, "settled")
     kept = groups(rows, text, key, fit_bytes).filter("kept").select(F.col("rid").alias("_exact_rid"))
     return placed(rows, "_exact_rid").join(kept.hint("merge"), "_exact_rid", "left_semi").drop("_exact_rid")
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.base import WORD, documents, placed, stored, unit_hash, with_prefix
+from tidemark.llm.base import WORD, documents, placed, settled, stored, unit_hash, with_prefix
 
 SHARDS = 16
 BLOCK = 64  # words
@@ -99,7 +99,9 @@ def sizes_of(rows: DataFrame, text: str = "text") -> DataFrame:
 
 
 def mix(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, shards: int = SHARDS, block: int = BLOCK, share: float = SHARE, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """The mixture of stored rows (rid, doc_id, source, size): a row per source, and a row per piece drawn.
+    """The mixture of stored rows (rid, doc_id, source, size and, if there is one, tie): a row per source, and a row per piece drawn.
+
+    ``tie`` is a hash of the text: rows are shuffled by doc_id and tie, so that rows with one id don't lie together.
 
     Sources: g, source, source_size, target. Pieces: rid, g, shard, j (the slot within the source), epoch, first and
     length (words of the row, counted from 0): ``shard``, ``g`` and ``j`` say where the piece stands in the output.
@@ -113,7 +115,8 @@ def mix(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, shards: int = SH
     are rows of their own by ``rid``. No rows: both results are empty.
     """
     spark = sized.sparkSession
-    keyed = sized.withColumn("g", F.xxhash64(F.col("source").isNull(), F.col("source"))).withColumn("u", unit_hash(F.col("doc_id"), F.lit(seed)))
+    tie = F.col("tie") if "tie" in sized.columns else F.lit(0).cast("long")
+    keyed = sized.withColumn("g", F.xxhash64(F.col("source").isNull(), F.col("source"))).withColumn("u", unit_hash(F.col("doc_id"), tie, F.lit(seed)))
     found = keyed.groupBy("source", "g").agg(F.sum("size").alias("size")).collect()
     found.sort(key=lambda r: (r.source is None, (r.source or "").encode("utf-32-be")))
     goal = targets([r.size for r in found], [weights[i % len(weights)] for i in range(len(found))], share)
@@ -175,11 +178,12 @@ def mixed_rows(rows: DataFrame, text: str = "text", length: str = "n_chars") ->
     """The mixture as rows with the columns of ``rows``: a row for each time some of its words are taken, with these words.
 
     A row whose words are all taken keeps its whole text; ``length``, if there is such a column, becomes the length of the new text in
-    characters. Rows without words are in no mixture. Other cases as in ``mix``. Rows are found again by their place, so they must
-    come from files, which give the same places each time.
+    characters. Rows without words are in no mixture. Other cases as in ``mix``. Rows are found again by their place; those
+    that don't come straight from a scan are stored first. Other columns may have any names but ``_mix_rid``.
     """
+    rows = settled(rows, "settled")
     marked = placed(rows, "_mix_rid")
-    sized = stored(sizes_of(marked.drop("size"), text).select(F.col("_mix_rid").alias("rid"), "doc_id", "source", "size"), "sizes")
+    sized = stored(sizes_of(marked.drop("size"), text).select(F.col("_mix_rid").alias("rid"), "doc_id", "source", "size", F.xxhash64(F.col(text)).alias("tie")), "sizes")
     _, pieces = mix(sized)
     per_row = pieces.groupBy("rid", "epoch").agg(F.collect_list(F.struct("first", "length")).alias("spans")).select(F.col("rid").alias("_mix_rid"), "spans")
     others = [c for c in rows.columns if c != text]
@@ -194,12 +198,12 @@ def mixed_rows(rows: DataFrame, text: str = "text", length: str = "n_chars") ->
 
 def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed by the weights 3, 1, 2; words taken of each."""
-    sized = stored(sizes_of(documents(spark, sf_dir)).select(F.monotonically_increasing_id().alias("rid"), "doc_id", "source", "size"), "sizes")
+    sized = stored(sizes_of(documents(spark, sf_dir)).select(F.monotonically_increasing_id().alias("rid"), "doc_id", "source", "size", F.xxhash64("text").alias("tie")), "sizes")
     sources, pieces = mix(sized)
     taken = pieces.groupBy("rid").agg(F.sum("length").alias("taken"))
     by_source = F.broadcast(sources.select(F.col("source").alias("_source"), "source_size", "target"))
     return (
-        sized.join(by_source, F.col("source").eqNullSafe(F.col("_source")))
+        sized.drop("tie").join(by_source, F.col("source").eqNullSafe(F.col("_source")))
         .join(taken, "rid", "left")
         .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), "source")
     )

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.base import batch_bytes, chunks, documents, remainder, unit_hash, utf8
@@ -17,7 +17,7 @@ WORDS = 64
 FEATURES = SHAPES + WORDS + 6
 HIDDEN, ATTENTION = 24, 16
 SAMPLE = 3000  # labelled documents of each class that the model is fitted on
-SAMPLE_PASSAGES = 48  # of each of them, evenly spread
+SAMPLE_BYTES = 48 << 20  # of their texts at most; no row has more than a hundredth
 CHUNK_BYTES = 1 << 20
 EPOCHS, BATCH, RATE, DECAY = 24, 128, 0.01, 1e-4
 SEED = 11
@@ -180,16 +180,18 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, j in chunks(offsets, CHUNK_BYTES):
             x, begins = encode(data, offsets[i : j + 1])
             for k in range(j - i):
-                bag = x[begins[k] : begins[k + 1]]
-                bags.append(bag[np.unique(np.linspace(0, len(bag) - 1, min(len(bag), SAMPLE_PASSAGES)).astype(int))].tobytes())
+                bags.append(x[begins[k] : begins[k + 1]].tobytes())
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bags, pa.binary()), b.column(2)], names=["label", "bag", "key"])
 
 
-def train(rows: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality", sample: int = SAMPLE) -> AttentionModel:
-    """A model fitted on up to ``sample`` labelled rows of each class, those with the least hash of the key.
+def train(
+    rows: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality", sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES
+) -> AttentionModel:
+    """A model fitted on all passages of up to ``sample`` labelled rows of each class, those with the least hash of the key.
 
     Null keys, null labels, labels other than 0 and 1, and keys with both labels teach nothing. What reaches the
-    driver is bounded: ``2 * sample`` rows of ``SAMPLE_PASSAGES`` passages at most.
+    driver is bounded by the sample, a sample of rows: rows join it by their hash while their whole texts have at most
+    ``sample_bytes`` together; rows with over a hundredth of that are not in it. Features take some twice the bytes.
     """
     clear = (
         labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull())
@@ -199,9 +201,12 @@ def train(rows: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
         .drop("_other")
     )
     narrow = rows.filter(F.col(key).isNotNull()).select(F.col(key).alias("_key"), utf8(text).alias("_text"))
-    known = rows.select(F.col(key).alias("_key")).distinct().join(clear, "_key").withColumn("_u", unit_hash(F.col("_key"), F.lit(SEED)))
+    sizes = narrow.groupBy("_key").agg(F.max(F.octet_length("_text")).alias("_bytes")).filter(F.col("_bytes") <= sample_bytes // 100)
+    known = sizes.join(clear, "_key").withColumn("_u", unit_hash(F.col("_key"), F.lit(SEED)))
     least = [known.filter(F.col("_label") == k).orderBy("_u", "_key").limit(sample) for k in (0, 1)]
-    chosen = least[0].union(least[1]).select("_key", "_label")
+    # at most 2 * sample rows of numbers
+    before = F.sum("_bytes").over(Window.partitionBy(F.lit(0)).orderBy("_u", "_key"))
+    chosen = least[0].union(least[1]).withColumn("_sum", before).filter(F.col("_sum") <= sample_bytes).select("_key", "_label")
     picked = narrow.join(F.broadcast(chosen), "_key").dropDuplicates(["_key"]).select("_label", "_text", F.col("_key").cast("string"))
     found = picked.mapInArrow(_bags, "label int, bag binary, key string").orderBy("key").toArrow()
     bags = [np.frombuffer(x.as_py(), np.float32).reshape(-1, FEATURES) for x in found.column("bag")]

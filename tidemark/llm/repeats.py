@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.base import BROADCAST_ROWS, batch_bytes, chunks, documents, placed, stored, utf8
+from tidemark.llm.base import BROADCAST_ROWS, batch_bytes, chunks, documents, placed, settled, stored, utf8
 from tidemark.session import materialize
 
 LENGTH = 200  # bytes of a passage
@@ -338,8 +338,8 @@ def _cut(length: int):
 
 
 def numbered(rows: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(rid, doc_id, content): rows must come from files, which give the same places each time."""
-    return placed(rows, "_repeat_rid").select(F.col("_repeat_rid").alias("rid"), F.col(key).cast("long").alias("doc_id"), utf8(text).alias("content"))
+    """(rid, doc_id, content); rows that don't come straight from a scan are stored first."""
+    return placed(settled(rows, "settled"), "_repeat_rid").select(F.col("_repeat_rid").alias("rid"), F.col(key).cast("long").alias("doc_id"), utf8(text).alias("content"))
 
 
 def repeated_passages(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:

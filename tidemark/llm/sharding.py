@@ -14,12 +14,13 @@ SEED = 20
 def shard(rows: DataFrame, strata: str = "source", key: str = "doc_id", shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """Adds ``shard`` (0 to ``shards`` - 1) and ``slot`` (gapless from 0) so that every shard has the mixture of the strata.
 
-    Rows are shuffled within their stratum by a seeded hash of ``key`` and ranked; the fractional rank
+    Rows are shuffled within their stratum by a seeded hash of ``key`` and all columns and ranked, so rows that share a key
+    spread like others; the fractional rank
     (rank + phase) / n, with a phase from 0 to 1 that depends on the stratum, interleaves the strata. The rows in
     that order are cut into shards whose row counts differ by one at most.
 
-    Nulls: null strata are a stratum of their own, null keys a key. Rows with equal keys are ordered by the hash of
-    all their columns; rows equal in all columns are interchangeable. An empty table gives an empty result. All
+    Nulls: null strata are a stratum of their own, null keys a key. Rows equal in all columns are interchangeable and
+    lie side by side. An empty table gives an empty result. All
     columns are kept; names starting with ``_shard_`` are reserved. The rows are written to the shared folder once,
     so pass narrow rows.
     """
@@ -28,7 +29,7 @@ def shard(rows: DataFrame, strata: str = "source", key: str = "doc_id", shards:
         rows.withColumns(
             {
                 "_shard_stratum": F.xxhash64(F.col(strata).isNull(), F.col(strata), F.lit(seed)),
-                "_shard_unit": unit_hash(F.col(key), F.lit(seed)),
+                "_shard_unit": unit_hash(F.col(key), F.lit(seed), F.xxhash64(*own)),
                 "_shard_tie": F.xxhash64(*own),
             }
         ),

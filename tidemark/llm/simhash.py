@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.base import bounded_side, documents, placed, stored, utf8
+from tidemark.llm.base import bounded_side, documents, placed, settled, stored, utf8
 from tidemark.llm.components import components
 
 SHINGLE = 3
@@ -216,8 +216,9 @@ def near_groups(rows: DataFrame, text: str = "text", key: str = "doc_id", shingl
 def distinct_rows(rows: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, most_bits: int = MOST_BITS) -> DataFrame:
     """One row of each group, with all its columns: the one with the least key, null keys last. Cases as in ``near_groups``.
 
-    Rows are found again by their place, so they must come from files, which give the same places each time.
+    Rows are found again by their place; those that don't come straight from a scan are stored first.
     """
+    rows = settled(rows, "settled")
     found = near_groups(rows, text, key, shingle, most_bits)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "rid"))
     kept = found.groupBy("label").agg(first.alias("first")).select(F.col("first.rid").alias("_near_rid"))
