@@ -383,3 +383,51 @@ def test_frozen_context_reads_the_cache_alone(spark):
     assert same.compute(Context(store, cache=cache, frozen=True)).count() == 3
     assert same.compute(Context(store, cache=cache)).count() == 5
     assert same.compute(Context(store, cache=cache, frozen=True)).count() == 5
+
+
+def test_a_key_of_any_size_passes_in_ordered_batches(spark, store, monkeypatch):
+    from tidemark.plans import transforms as module
+
+    monkeypatch.setattr(module, "KEY_ROWS", 1000)
+    rows = spark.range(30_000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE 'k' || id END AS key", "30000 - id AS at")
+    store.create_dataset("/hot").save_dataframe(rows)
+    options = {"schema": "key string, n long, ordered boolean", "keys": ["key"], "rows": Input("/hot")}
+
+    @transform_pandas(Output("/counted"), batches=True, order_by=["at"], **options)
+    def counted(rows, ctx):
+        n, last, ordered = 0, -1, not ctx.is_incremental
+        for batch in rows:
+            ordered = ordered and batch["at"].is_monotonic_increasing and batch["at"].iat[0] > last
+            n, last, key = n + len(batch), batch["at"].iat[-1], batch["key"].iat[0]
+        yield pd.DataFrame({"key": [key], "n": [n], "ordered": [bool(ordered)]})
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "700")
+    try:
+        got = counted.compute(Context(store))
+        assert got.where("key = 'hot'").collect() == [("hot", 10_000, True)] and got.where("ordered").count() == 20_001
+
+        @transform_pandas(Output("/whole"), **options)
+        def whole(rows):
+            return pd.DataFrame({"key": rows["key"].head(1), "n": [len(rows)], "ordered": [True]})
+
+        with pytest.raises(Exception, match="batches=True"):
+            whole.compute(Context(store)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    with pytest.raises(ValueError, match="one by batches"):
+        transform_pandas(Output("/two"), batches=True, schema="key string", keys=["key"], a=Input("/hot"), b=Input("/hot"))(lambda a, b: a).compute(Context(store))
+
+
+def test_ctx_is_offered_where_tasks_run_the_function(spark, store):
+    store.create_dataset("/small").save_dataframe(spark.range(5).selectExpr("id", "id % 2 AS k"))
+
+    @transform_pandas(Output("/batch"), schema="id long, incremental boolean", rows=Input("/small"))
+    def batch(rows, ctx):
+        return pd.DataFrame({"id": rows["id"], "incremental": ctx.is_incremental})
+
+    @transform_pandas(Output("/pairs"), schema="k long, n long, incremental boolean", keys=["k"], a=Input("/small"), b=Input("/small"))
+    def pairs(a, b, ctx):
+        return pd.DataFrame({"k": a["k"].head(1), "n": [len(a) * len(b)], "incremental": [ctx.is_incremental]})
+
+    assert {tuple(r) for r in batch.compute(Context(store)).collect()} == {(i, False) for i in range(5)}
+    assert {tuple(r) for r in pairs.compute(Context(store)).collect()} == {(0, 9, False), (1, 4, False)}

@@ -146,6 +146,38 @@ def transform_pandas_keyed(spark, sf):
     return per_customer.compute(Context(store))
 
 
+@query(
+    """WITH o AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_custkey END AS customer, o_orderkey AS key, o_orderdate AS day,
+    CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders),
+    r AS (SELECT *, cents - lag(cents) OVER (PARTITION BY customer ORDER BY day, key) AS step FROM o)
+    SELECT customer, count(*) AS orders, CAST(sum(cents) AS BIGINT) AS cents, count(*) FILTER (WHERE step > 0) AS rises FROM r GROUP BY customer"""
+)
+def transform_pandas_batches(spark, sf):
+    """Prices that rose from one order of a customer to the next; a third of all orders belong to one customer."""
+    store = Store(spark)
+    orders = d.table(spark, sf, "orders").select(
+        F.when(F.col("o_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("o_custkey")).cast("long").alias("customer"),
+        F.col("o_orderkey").alias("key"),
+        F.col("o_orderdate").alias("day"),
+        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"),
+    )
+    store.create_dataset("/orders").save_dataframe(orders)
+
+    @transform_pandas(
+        Output("/rises"), schema="customer bigint, orders bigint, cents bigint, rises bigint", keys=["customer"], batches=True,
+        order_by=["day", "key"], rows=Input("/orders"),
+    )
+    def rises(rows, ctx):
+        customer, orders, cents, up, last = None, 0, 0, 0, None
+        for batch in rows:
+            prices = batch.cents if last is None else pd.concat([pd.Series([last]), batch.cents])
+            customer, orders, cents = batch.customer.iat[0], orders + len(batch), cents + int(batch.cents.sum())
+            up, last = up + int((prices.diff() > 0).sum()), batch.cents.iat[-1]
+        yield pd.DataFrame({"customer": [customer], "orders": [orders], "cents": [cents], "rises": [up * (not ctx.is_incremental)]})
+
+    return rises.compute(Context(store))
+
+
 @query("SELECT CAST(5 AS BIGINT) AS files, count(*) AS n FROM orders")
 def transform_configured(spark, sf):
     store = Store(spark)
