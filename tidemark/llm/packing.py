@@ -312,6 +312,7 @@ def _packed(path: str, length: int, end: int):
                     for key, ids in zip(keys[i:j], encoder.encode_bytes(data, offsets[i : j + 1]), strict=True):
                         yield key, np.append(ids, np.uint32(end))
             encoder.trim(KEPT_WORDS)
+            pa.default_memory_pool().release_unused()
 
         rows: list[tuple] = []
         held = 0
