@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 from conftest import SF_DIR
+from tidemark.operators import stats
 
 TABLES = """region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels
 conversations""".split()
@@ -35,14 +36,14 @@ def test_query_equals_sql(spark, duck, name):
     assert sorted_rows(frame.columns, [tuple(r) for r in frame.collect()]) == sorted_rows(columns, wanted.fetchall())
 
 
-def test_every_query_has_sql_but_the_sketched_one():
+def test_every_query_has_sql():
     optional = {n for n in entry_point.queries() if re.match(r"op\d+_|pipeline$", n)}
-    assert set(entry_point.queries()) - set(entry_point.oracle_sql()) - optional == {"column_stats_approx"}
+    assert set(entry_point.queries()) - set(entry_point.oracle_sql()) - optional == set()
 
 
 def test_sketched_statistics_are_close_to_exact_ones(spark, sf_dir):
-    rows = {r["column"]: r for r in entry_point.queries()["column_stats_approx"](spark, sf_dir).collect()}
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    rows = {r["column"]: r for r in stats.column_stats_approx(orders).collect()}
     exact = orders.select("o_orderkey").distinct().count()
     assert rows["o_orderkey"]["row_count"] == orders.count() and rows["o_orderkey"]["null_count"] == 0
     assert abs(rows["o_orderkey"]["unique_count"] - exact) < 0.2 * exact
