@@ -17,6 +17,7 @@ SHINGLE = 3
 PERCENT = 90
 HOT = 64
 GROUP = 32
+BITMAP = 1024
 CHUNK_BYTES = 4 << 20
 # Tokens below this are a document's low tokens: a quarter of all, in order of their hash.
 LOW = np.uint64(1 << 62)
@@ -199,6 +200,37 @@ def _near_by_low(percent: int):
     return run
 
 
+def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Low tokens as ``BITMAP`` bits, one for each token."""
+    for b in batches:
+        out = []
+        for i in range(b.num_rows):
+            tokens = _tokens(b.column(1), i)
+            bits = np.zeros(BITMAP, np.uint8)
+            bits[(tokens[: np.searchsorted(tokens, LOW)] * _MIX >> np.uint64(40)) % np.uint64(BITMAP)] = 1
+            out.append(np.packbits(bits).tobytes())
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["node", "bits"])
+
+
+def _may_open(percent: int):
+    """Drops (query, group) where more bits of the query's tokens are missing in the group than tokens may be.
+
+    A bit that no member of the group has stands for tokens that none has, so nothing similar is dropped.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = np.zeros(b.num_rows, bool)
+            for i, n in enumerate(b.column(3).to_pylist()):
+                query = np.frombuffer(b.column(4)[i].as_buffer(), np.uint64)
+                group = np.frombuffer(b"".join(b.column(5)[i].as_py()), np.uint64).reshape(-1, len(query))
+                missing = int(np.bitwise_count(query & ~np.bitwise_or.reduce(group, axis=0)).sum())
+                keep[i] = missing <= n - least_overlap(n, percent)
+            yield pa.RecordBatch.from_arrays([b.column(k) for k in range(4)], names=["node", "cls", "part", "n"]).filter(pa.array(keep))
+
+    return run
+
+
 def _opens(percent: int):
     """Keeps (query, group) where the group's token union may hold enough of the query's tokens for a similar member."""
 
@@ -344,7 +376,16 @@ def similar_groups(
     matrix = stored(matrix.agg(F.min("n").alias("least_n"), F.max("n").alias("most_n")), "matrix")
     fits = (F.col("cls") < F.col("to")) & (100 * F.col("most_n") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("least_n"))
     meets = stored(open_query.join(matrix, "token").filter(fits).select("node", "n", F.col("to").alias("cls"), "part").distinct(), "meets")
-    grouped = stored(members.join(meets.select("cls", "part").distinct(), ["cls", "part"]).select("node", "cls", "part"), "grouped")
+
+    # a first bound by bitmaps of low tokens, a tenth of their size
+    found = meets.select("cls", "part").distinct()
+    grouped = stored(members.join(found, ["cls", "part"]).select("node", "cls", "part"), "grouped")
+    bits = stored(join.low_of(grouped.select("node").union(meets.select("node")).distinct()).select("node", "low").mapInArrow(_bitmaps, "node long, bits binary"), "bits")
+    group_bits = bits.join(grouped, "node").groupBy("cls", "part").agg(F.collect_list("bits").alias("group_bits"))
+    compared = meets.join(bits, "node").join(group_bits, ["cls", "part"]).select("node", "cls", "part", "n", "bits", "group_bits")
+    meets = stored(compared.mapInArrow(_may_open(percent), "node long, cls long, part long, n long"), "may-open")
+    grouped = grouped.join(meets.select("cls", "part").distinct(), ["cls", "part"], "left_semi")
+    grouped = stored(grouped, "open-groups")
     unions = join.low_of(grouped.select("node")).select("node", "low").join(grouped, "node").groupBy("cls", "part").agg(F.collect_list("low").alias("lows"))
     # the unions come last: they are the widest rows, and are shuffled once
     checked = meets.join(join.low_of(meets.select("node").distinct()).select("node", "low"), "node").join(unions, ["cls", "part"])
