@@ -197,12 +197,11 @@ def test_pandas_in_tasks_by_key_and_with_checked_merges(spark, store):
     with pytest.raises(ValueError, match="merge takes"):
         mean.compute(Context(store))
 
-    @transform_pandas(Output("/o"), schema="k bigint", a=Input("/a"))
+    @transform_pandas(Output("/o"), schema="k bigint, incremental boolean", a=Input("/a"))
     def with_context(ctx, a):
-        return a
+        return pd.DataFrame({"k": a.k, "incremental": ctx.is_incremental})
 
-    with pytest.raises(TypeError, match="no ctx"):
-        with_context.compute(Context(store))
+    assert {tuple(r) for r in with_context.compute(Context(store)).collect()} == {(k, False) for k in range(4)}
 
 
 def test_settings_hold_until_the_commit(spark, store):
@@ -281,6 +280,20 @@ def test_large_pages_are_limited_before_the_shuffle(spark, sf_dir, size):
     assert page.count() == rows.count()
 
 
+def test_pages_above_the_threshold_of_the_session_are_spread(spark, sf_dir):
+    from tidemark.operators.transactions import GROUP_LIMIT, top_per_key
+
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    before, page = spark.conf.get(GROUP_LIMIT), lambda: top_per_key(orders, ["o_orderstatus"], [F.col("o_orderkey").desc()], 300)
+    want = sorted(map(tuple, page().select("o_orderkey", "rank").collect()))
+    spark.conf.set(GROUP_LIMIT, "100")
+    try:
+        assert sorted(map(tuple, page().select("o_orderkey", "rank").collect())) == want
+        assert spark.conf.get(GROUP_LIMIT) == "100"
+    finally:
+        spark.conf.set(GROUP_LIMIT, before)
+
+
 def test_schema_rows_tell_nested_types_apart(spark):
     kinds = ["a struct<x: int, y: map<string, array<bigint>>>", "a struct<x: bigint, y: map<string, array<bigint>>>"]
     texts = [json.dumps(docs.to_document(spark.createDataFrame([], k).schema)) for k in kinds]

@@ -17,20 +17,20 @@ from tidemark.operators.views import (
 )
 
 
-# From so many rows a key on Spark no longer cuts windows off before their shuffle, and rows are spread over so many parts.
-GROUP_LIMIT, SPREAD = 1000, 64
+# The setting up to which Spark cuts windows off before their shuffle; for more rows a key, rows are spread over so many parts.
+GROUP_LIMIT, SPREAD = "spark.sql.optimizer.windowGroupLimitThreshold", 64
 
 
 def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str = "rank") -> DataFrame:
     """First ``n`` rows of each key in ``order``, with their 1-based rank.
 
     The ``rank <= n`` filter makes Spark keep at most ``n`` rows per key in each map task before the shuffle
-    (window group limit), so a hot key never reaches one task as a whole. Spark does so for small ``n`` only; for
-    larger pages the rows of a key are first cut to ``n`` in each of several parts, so that at most ``SPREAD`` times ``n``
-    of them meet.
+    (window group limit), so a hot key never reaches one task as a whole. Spark does so below a threshold of the session,
+    which is left as it is; for larger pages the rows of a key are first cut to ``n`` in each of several parts, so that
+    at most ``SPREAD`` times ``n`` of them meet.
     """
     window = Window.partitionBy(*keys).orderBy(*order)
-    if n < GROUP_LIMIT:
+    if n < int(df.sparkSession.conf.get(GROUP_LIMIT, "1000")):
         return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n)
     part = F.pmod(F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]), F.lit(SPREAD))
     spread = Window.partitionBy(*keys, "__part").orderBy(*order)
