@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -170,9 +171,10 @@ def transform_pandas_batches(spark, sf):
     def rises(rows, ctx):
         customer, orders, cents, up, last = None, 0, 0, 0, None
         for batch in rows:
-            prices = batch.cents if last is None else pd.concat([pd.Series([last]), batch.cents])
+            prices = batch.cents.to_numpy()
             customer, orders, cents = batch.customer.iat[0], orders + len(batch), cents + int(batch.cents.sum())
-            up, last = up + int((prices.diff() > 0).sum()), batch.cents.iat[-1]
+            up += int(np.count_nonzero(prices[1:] > prices[:-1])) + (last is not None and bool(prices[0] > last))
+            last = prices[-1]
         yield pd.DataFrame({"customer": [customer], "orders": [orders], "cents": [cents], "rises": [up * (not ctx.is_incremental)]})
 
     return rises.compute(Context(store))
