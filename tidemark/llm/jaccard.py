@@ -133,8 +133,11 @@ def frequent_filter(tokens: DataFrame, rows: int) -> np.ndarray:
     """A Bloom filter of ``tokens``, at most 2**28 bits: built block by block in tasks, so bounded on the driver."""
     bits = 1 << min(MOST_BITS, max(LEAST_BITS, (rows * BITS_EACH).bit_length()))
     out = np.zeros(bits // 8, np.uint8)
-    for row in tokens.mapInArrow(_marks(bits), "block long, bit long").groupBy("block").applyInPandas(_mark_block, "block long, marks binary").toLocalIterator():
-        out[row.block * 8192 : (row.block + 1) * 8192] = np.frombuffer(row.marks, np.uint8)
+    made = tokens.mapInArrow(_marks(bits), "block long, bit long").groupBy("block").applyInPandas(_mark_block, "block long, marks binary")
+    # one job, not one for each partition
+    for b in made.toArrow().to_batches():
+        for block, marks in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            out[block * 8192 : (block + 1) * 8192] = np.frombuffer(marks.as_buffer(), np.uint8)
     return out
 
 
