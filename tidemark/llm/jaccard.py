@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.base import batch_bytes, bounded_side, chunks, documents, stored, utf8
+from tidemark.llm.base import batch_bytes, bounded_side, chunks, documents, split_words, stored, utf8
 from tidemark.llm.components import components
 
 SHINGLE = 3
@@ -24,33 +24,15 @@ LOW = np.uint64(1 << 62)
 # The filter of frequent tokens: bits for each, and the least and largest size as powers of two.
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 16, 28
 
-_WHITE = np.zeros(256, bool)
-_WHITE[list(b" \t\n\x0b\x0c\r")] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
 _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 def token_sets(data: np.ndarray, offsets: np.ndarray, shingle: int) -> list[np.ndarray]:
     """Of each text the sorted distinct 64-bit hashes of its shingles; a text of fewer words is one shingle, or none."""
-    first, end = int(offsets[0]), int(offsets[-1])
-    data, offsets = _LOWER[data[first:end]], offsets - first
-    inside = ~_WHITE[data]
-    filled = np.diff(offsets) > 0
-    heads, tails = offsets[:-1][filled], offsets[1:][filled] - 1
-    begins, ends = inside.copy(), inside.copy()
-    begins[1:] &= ~inside[:-1]
-    begins[heads] |= inside[heads]
-    ends[:-1] &= ~inside[1:]
-    ends[tails] |= inside[tails]
-    starts = np.flatnonzero(begins)
-    bounds = np.zeros(len(starts) + 1, np.int64)
-    np.cumsum(np.flatnonzero(ends) - starts + 1, out=bounds[1:])
-    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data[inside])]).dictionary_encode()
+    words, cuts = split_words(data, offsets)
     digest = xxhash.xxh3_64_intdigest
     distinct = np.fromiter((digest(w) for w in words.dictionary.to_pylist()), np.uint64, len(words.dictionary))
-    hashes = distinct[words.indices.to_numpy()] if len(starts) else np.zeros(0, np.uint64)
-    cuts = np.searchsorted(starts, offsets)
+    hashes = distinct[words.indices.to_numpy()] if len(words) else np.zeros(0, np.uint64)
     value = np.full(max(0, len(hashes) - shingle + 1), shingle, np.uint64)
     for k in range(shingle):
         value = value * _STEP + hashes[k : k + len(value)]
