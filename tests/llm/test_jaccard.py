@@ -86,3 +86,35 @@ def test_odd_rows(spark):
     assert [(r.n, r.component_id) for r in got if r.id is None] == [(1, None)]
     assert {r.n for r in got if r.id == 6} == {1}
     assert jaccard.similar_groups(no_documents(spark)).count() == 0
+
+
+def test_prefixes_begin_with_the_rarest_tokens_of_whole_sets(spark):
+    rng = random.Random(5)
+    base = words(rng, 300)
+    # each differs from the base in words of its own, so that no two share one of their first tokens
+    texts = {i: edited(rng, base, 0.45) for i in range(30)} | {100 + i: words(rng, 80) for i in range(5)} | {200: None, 201: ""}
+    sets = {i: plain_set(t) for i, t in texts.items()}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    content = df.select(jaccard.utf8().alias("content"))
+    rated = content.unionAll(content).mapInArrow(jaccard._dealt(3, 5), jaccard._PIECES).repartition(5, "part").mapInArrow(jaccard._rated(64, 5), jaccard._RATED)
+    got = rated.repartition(5, "bucket").mapInArrow(jaccard._prefixes(90), "token long, d1 long, n long, place long, singles long").collect()
+    times = {}
+    for s in sets.values():
+        for t in s:
+            times[t] = times.get(t, 0) + 1
+    room = {i: len(s) - jaccard.least_overlap(len(s), 90) + 1 for i, s in sets.items()}
+    single = {i: sum(times[t] == 1 for t in s) for i, s in sets.items()}
+    assert len(got) == sum(min(max(0, room[i] - single[i]), len(s) - single[i]) for i, s in sets.items())
+    assert all(r.place >= r.singles for r in got)
+    assert groups(spark, texts) == plain_groups(texts)
+
+
+def test_bitmaps_of_any_size_never_exceed_the_difference():
+    rng = np.random.default_rng(6)
+    for n, m in ((3, 3), (100, 130), (127, 129), (1000, 1100), (5000, 40)):
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[: len(a) * 9 // 10], rng.integers(0, 1 << 63, m, dtype=np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        x, y = jaccard._folded(jaccard._bitmap(a), jaccard._bitmap(b))
+        assert int(np.bitwise_count(x ^ y).sum()) <= len(a) + len(b) - 2 * both
+        assert int(np.bitwise_count(x & ~y).sum()) <= len(a) - both
